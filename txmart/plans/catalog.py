@@ -1,75 +1,8 @@
-"""Registered queries: each a Spark plan over the given tables plus its DuckDB oracle SQL.
-
-Each query reads the whole driver tables (or data Spark derives from them) and returns a
-DataFrame with portable column types: decimals become double, small ints bigint.
-"""
+"""All registered queries: importing the query modules fills the registry."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from txmart.plans import reports
-from txmart.sources import tables as tb
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return portable(fn(spark, sf_dir))
-
-        run.__name__ = name
-        run.__doc__ = fn.__doc__
-        QUERIES[name] = run
-        if sql is not None:
-            ORACLE_SQL[name] = sql.strip()
-        return fn
-
-    return deco
-
-
-def portable(df: DataFrame) -> DataFrame:
-    """Cast decimals to double and 8/16/32-bit ints to bigint (DuckDB's date parts are BIGINT)."""
-    cols = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.DecimalType):
-            c = c.cast("double")
-        elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            c = c.cast("bigint")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
-
-
-def _t(spark, sf_dir, name):
-    return tb.read_table(spark, sf_dir, name)
-
-
-# ---------------------------------------------------------------- reports over driver tables
+from txmart.plans import q_clean, q_reports  # noqa: F401  (registration side effects)
+from txmart.plans.registry import ORACLE_SQL, QUERIES, portable
 
-@register(
-    "customer_summary",
-    """
-    SELECT c.c_custkey AS customer_key, c.c_name AS customer_name, c.c_mktsegment AS customer_segment,
-           count(DISTINCT CAST(o.o_orderkey AS VARCHAR)) AS transaction_count,
-           CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
-           CAST(avg(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS avg_amount,
-           max(CAST(o.o_orderdate AS DATE)) AS last_transaction
-    FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey
-    GROUP BY c.c_custkey, c.c_name, c.c_mktsegment
-    ORDER BY total_amount DESC NULLS FIRST, customer_key
-    LIMIT 20
-    """,
-)
-def _customer_summary(spark, sf_dir):
-    """A-1 over customer ⟕ orders: top 20 customers by total amount."""
-    return reports.customer_summary(
-        tb.customers_as_dim(_t(spark, sf_dir, "customer")), tb.orders_as_fact(_t(spark, sf_dir, "orders"))
-    )
+__all__ = ["QUERIES", "ORACLE_SQL", "portable"]
