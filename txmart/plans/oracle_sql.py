@@ -187,3 +187,16 @@ def two_loads_sql() -> str:
         + cleaned_ctes("raw1", "a_") + "," + cleaned_ctes("raw2", "b_") + "," + SEED_CTES + ","
         + mart_ctes("a_cleaned", "m_", FIRST_LOAD, "B1") + "," + mart_ctes("b_cleaned", "n_", second, "B2")
     )
+
+
+def r2(x: str, places: int = 2) -> str:
+    """``round`` with Spark/Python semantics on doubles (half-up of the exact binary
+    value): DuckDB's double ``round`` rounds the scaled product instead."""
+    return f"cast(round(cast({x} as decimal(38,18)), {places}) as double)"
+
+
+def avg6(x: str) -> str:
+    """Exact half-up average of a positive ``decimal(18,2)`` at scale 6, as Spark's decimal
+    ``avg`` gives it (DuckDB's ``avg`` of a decimal is a double)."""
+    n = f"count({x})"
+    return f"(cast((cast(sum({x}) * 100 as hugeint) * 20000 + {n}) // (2 * {n}) as double) / 1000000)"

@@ -12,7 +12,7 @@ from txmart.operators.keys import assign_keys
 from txmart.plans import fixtures as fx
 from txmart.plans import reports
 from txmart.plans.mart import build_mart, seeded_mart
-from txmart.plans.oracle_sql import one_load_sql, two_loads_sql
+from txmart.plans.oracle_sql import avg6, one_load_sql, two_loads_sql
 from txmart.plans.registry import _t, register
 
 NOW1 = dt.datetime(2024, 2, 1, 2, 0, 0)
@@ -179,7 +179,7 @@ def _dimension_counts(spark, sf_dir):
     f"""
     with {one_load_sql('B1')}
     select c.customer_key, c.customer_name, c.customer_segment, count(distinct t.transaction_id) as transaction_count,
-      cast(sum(t.transaction_amount) as double) as total_amount, cast(avg(t.transaction_amount) as double) as avg_amount,
+      cast(sum(t.transaction_amount) as double) as total_amount, {avg6('t.transaction_amount')} as avg_amount,
       max(t.transaction_date) as last_transaction
     from m_dim_customers c left join m_fact t on c.customer_key = t.customer_key
     where c.is_active
@@ -199,9 +199,9 @@ def _mart_customer_summary(spark, sf_dir):
     f"""
     with {one_load_sql('B1')}
     select p.product_key, p.product_type, p.product_name, count(distinct t.transaction_id) as transaction_count,
-      cast(sum(t.transaction_amount) as double) as total_volume, cast(avg(t.transaction_amount) as double) as avg_transaction,
+      cast(sum(t.transaction_amount) as double) as total_volume, {avg6('t.transaction_amount')} as avg_transaction,
       count(distinct t.customer_key) as customer_count,
-      round(cast(count(distinct t.customer_key) as double) * 100.0 / (select count(distinct customer_key) from m_fact), 2)
+      round(100.0 * count(distinct t.customer_key) / (select count(distinct customer_key) from m_fact), 2)
         as customer_penetration_pct
     from m_dim_products p left join m_fact t on p.product_key = t.product_key
     where p.is_active
@@ -219,7 +219,7 @@ def _mart_product_performance(spark, sf_dir):
     f"""
     with {one_load_sql('B1')}
     select cast(date_trunc('month', transaction_date) as date) as month, count(distinct transaction_id) as transactions,
-      cast(sum(transaction_amount) as double) as volume, cast(avg(transaction_amount) as double) as avg_transaction,
+      cast(sum(transaction_amount) as double) as volume, {avg6('transaction_amount')} as avg_transaction,
       count(distinct customer_key) as active_customers
     from m_fact group by 1
     """,

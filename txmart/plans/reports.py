@@ -67,7 +67,7 @@ def product_performance(dim_products: DataFrame, fact: DataFrame) -> DataFrame:
         per_product.crossJoin(F.broadcast(all_customers))
         .withColumn(
             "customer_penetration_pct",
-            F.round(F.col("customer_count").cast("double") * 100.0 / F.col("_all_customers"), 2),
+            F.round((F.col("customer_count") * 100).cast("decimal(38,0)") / F.col("_all_customers"), 2),
         )
         .drop("_all_customers")
         .orderBy(F.col("total_volume").desc_nulls_first(), F.col("product_key"))
@@ -114,7 +114,7 @@ def run_performance(run_log: DataFrame, as_of=None, days: int = 30) -> DataFrame
             F.max("execution_duration_seconds").alias("max_duration_sec"),
             F.count("*").alias("total_runs"),
             F.count_if(ok).alias("successful_runs"),
-            F.round(F.count_if(ok).cast("double") * 100.0 / F.count("*"), 2).alias("success_rate_pct"),
+            F.round((F.count_if(ok) * 100).cast("decimal(38,0)") / F.count("*"), 2).alias("success_rate_pct"),
             F.sum("rows_extracted").alias("total_extracted"),
             F.sum("rows_loaded").alias("total_loaded"),
             F.sum("rows_rejected").alias("total_rejected"),
