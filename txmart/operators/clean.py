@@ -160,7 +160,13 @@ def clean_transactions(raw: DataFrame, settings: Settings | None = None, date_mo
     ``id`` on (customer_id, transaction_id, transaction_date), then the age parse.
     """
     s = settings or Settings()
-    kept = standardise(raw, s, date_mode).where(F.col("reject_reason").isNull()).drop("reject_reason")
+    return survivors_to_cleaned(standardise(raw, s, date_mode), s)
+
+
+def survivors_to_cleaned(tagged: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """The cleaned rows of a :func:`standardise` result (defaults, keep-first, age)."""
+    s = settings or Settings()
+    kept = tagged.where(F.col("reject_reason").isNull()).drop("reject_reason")
     kept = fill_defaults(kept, s.fill_defaults)
     kept = keep_first(kept, s.dedupe_keys, "id")
     kept = clean_age(kept)
@@ -174,7 +180,13 @@ def reject_counts(raw: DataFrame, settings: Settings | None = None, date_mode: s
     hot key costs one row per map task), not by materialising the dropped rows.
     """
     s = settings or Settings()
-    tagged = standardise(raw, s, date_mode).select(*s.dedupe_keys, "reject_reason")
+    return counts_of_tagged(standardise(raw, s, date_mode), s)
+
+
+def counts_of_tagged(tagged: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """C-10 over a :func:`standardise` result."""
+    s = settings or Settings()
+    tagged = tagged.select(*s.dedupe_keys, "reject_reason")
     reason = F.col("reject_reason")
     per_reason = tagged.agg(
         F.count("*").alias("rows_read"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txmart.operators.clean import keep_first
@@ -150,3 +150,23 @@ def mark_processed(raw: DataFrame, cutoff: DataFrame, now=None) -> DataFrame:
     return j.withColumns(
         {"is_processed": F.coalesce(F.col("is_processed"), F.lit(False)) | flip, "processed_at": F.when(flip, ts).otherwise(F.col("processed_at"))}
     ).select(*raw.columns)
+
+
+# ---------------------------------------------------------------- watermark form of S-7/S-9/S-10
+
+def watermark(marks: DataFrame, col: str) -> int:
+    """The greatest ``col`` over the run marks (-1 when none): one scalar."""
+    v = marks.agg(F.max(col)).first()[0]
+    return -1 if v is None else int(v)
+
+
+def with_run_flags(df: DataFrame, marks: DataFrame, id_col: str, through_col: str, flag: str, at: str) -> DataFrame:
+    """The reference-shaped flag columns of an append-only table, derived from the run
+    marks: ``flag`` = id <= the latest watermark; ``at`` = the time of the first run whose
+    watermark covers the id. The marks (one row per run) are broadcast; the time is found
+    with a range condition against them."""
+    m = marks.select(F.col(through_col).alias("_hi"), F.col("marked_at").alias("_at")).where(F.col("_hi").isNotNull())
+    w_lo = F.lag("_hi").over(Window.orderBy("_hi"))  # one row per run
+    ranges = m.select("_hi", "_at", F.coalesce(w_lo, F.lit(-1)).alias("_lo"))
+    j = df.drop(flag, at).join(F.broadcast(ranges), (F.col(id_col) > F.col("_lo")) & (F.col(id_col) <= F.col("_hi")), "left")
+    return j.withColumn(flag, F.col("_hi").isNotNull()).withColumn(at, F.col("_at")).drop("_hi", "_at", "_lo").select(*df.columns)

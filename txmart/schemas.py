@@ -150,10 +150,20 @@ EXECUTION_LOG = _struct(
     ("created_at", TS, False),
 )
 
+# One row per run: ids up to ``processed_through`` are processed, cleaned rows up to
+# ``loaded_through`` are loaded (S-9/S-10 as watermarks; the big tables are never rewritten).
+RUN_MARKS = _struct(
+    ("etl_batch_id", S, False),
+    ("processed_through", L, True),
+    ("loaded_through", L, True),
+    ("marked_at", TS, False),
+)
+
 # Table name -> schema, in the layers they live in.
 TABLES = {
     "staging.raw_banking_data": RAW,
     "staging.cleaned_banking_data": CLEANED,
+    "staging.run_marks": RUN_MARKS,
     "mart.dim_customers": DIM_CUSTOMERS,
     "mart.dim_products": DIM_PRODUCTS,
     "mart.dim_branches": DIM_BRANCHES,

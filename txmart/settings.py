@@ -96,5 +96,7 @@ class Settings:
     max_rows_per_run: int | None = None
     # Dimensions with at most this many rows are broadcast into the fact joins.
     broadcast_max_rows: int = 2_000_000
+    # Quality suite over this run's rows ("batch") or the whole tables ("table").
+    quality_scope: str = "batch"
     pipeline_name: str = "txmart_nightly"
     task_name: str = "full_pipeline"
