@@ -10,10 +10,34 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _shape(fmt: str) -> str | None:
+    """A regex every string parseable by ``fmt`` matches, when ``fmt`` is made only of
+    numeric fields and separators (e.g. ``yyyy-M-d`` -> ``^[0-9]+-[0-9]+-[0-9]+$``)."""
+    if not fmt or any(ch.isalpha() and ch not in "yMdHhms" for ch in fmt) or "'" in fmt:
+        return None
+    out, prev = [], None
+    for ch in fmt:
+        if ch.isalpha():
+            if prev != "field":
+                out.append("[0-9]+")
+            prev = "field"
+        else:
+            out.append("\\" + ch if ch in ".+*?()[]{}|^$\\" else ch)
+            prev = ch
+    return "^" + "".join(out) + "$"
+
+
 def parse_ts(c, fmt: str | None = None) -> Column:
-    """Lenient parse to ``timestamp_ntz`` (null on failure; session time zone is UTC)."""
-    parsed = F.try_to_timestamp(_col(c)) if fmt is None else F.try_to_timestamp(_col(c), F.lit(fmt))
-    return parsed.cast("timestamp_ntz")
+    """Lenient parse to ``timestamp_ntz`` (null on failure; session time zone is UTC).
+
+    With a numeric format the parse only runs on values of the format's shape: a failed
+    formatted parse is costly, and a value of another shape cannot parse anyway."""
+    col = _col(c)
+    if fmt is None:
+        return F.try_to_timestamp(col).cast("timestamp_ntz")
+    parsed = F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz")
+    shape = _shape(fmt)
+    return parsed if shape is None else F.when(col.rlike(shape), parsed)
 
 
 def parse_with_formats(c, formats) -> Column:

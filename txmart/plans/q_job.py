@@ -56,10 +56,11 @@ def land_deliveries(spark, sf_dir, root: str) -> tuple[str, str]:
     """Write F_RAW as two deliveries of CSV part files, rows in staging-id order."""
     raw = delivery_rows(spark, sf_dir)
     early = F.coalesce(F.col("Transaction Date") < "1998", F.lit(False))
-    first, second = f"{root}/delivery=1", f"{root}/delivery=2"
-    raw.where(early).orderBy("id").write.option("header", True).csv(first)
-    raw.where(~early).orderBy("id").write.option("header", True).csv(second)
-    return first, second
+    d = F.when(early, F.lit(1)).otherwise(F.lit(2)).alias("delivery")
+    # one write: range-partitioned on (delivery, id), so part files are in id order
+    (raw.select("*", d).repartitionByRange("delivery", "id").sortWithinPartitions("delivery", "id")
+        .write.partitionBy("delivery").option("header", True).csv(root))
+    return f"{root}/delivery=1", f"{root}/delivery=2"
 
 
 @register("job_pipeline", ORACLE)
