@@ -77,7 +77,7 @@ def cleaned_ctes(src: str, p: str = "") -> str:
 {p}cleaned as (
   select id as source_row_id, customer_id, transaction_id, transaction_date, product_type, transaction_amount,
     transaction_type, account_type, account_status, customer_name, customer_email, customer_phone,
-    cast(trunc(try_cast(customer_age as double)) as integer) as customer_age, customer_segment, branch_id, branch_location
+    cast(trunc(try_cast(customer_age as double)) as bigint) as customer_age, customer_segment, branch_id, branch_location
   from {p}survivors where rn = 1)"""
 
 
@@ -90,17 +90,18 @@ F_DATES_CTE = f"fdates as ({F_DATES_SQL})"
 # ---------------------------------------------------------------- mart (dimensions + fact)
 
 SEED_CTES = """
-seed_customers as (select 1 as customer_key, 'UNKNOWN' as customer_id, 'UNKNOWN' as customer_name,
-  cast(null as varchar) as customer_email, cast(null as varchar) as customer_phone, cast(null as integer) as customer_age,
+seed_customers as (select cast(1 as bigint) as customer_key, 'UNKNOWN' as customer_id, 'UNKNOWN' as customer_name,
+  cast(null as varchar) as customer_email, cast(null as varchar) as customer_phone, cast(null as bigint) as customer_age,
   'UNKNOWN' as customer_segment, true as is_active),
-seed_products as (select 1 as product_key, 'UNKNOWN' as product_id, 'UNKNOWN' as product_type, 'UNKNOWN' as product_name,
+seed_products as (select cast(1 as bigint) as product_key, 'UNKNOWN' as product_id, 'UNKNOWN' as product_type, 'UNKNOWN' as product_name,
   'UNKNOWN' as product_category, true as is_active),
-seed_branches as (select cast(null as integer) as branch_key, cast(null as varchar) as branch_id, cast(null as varchar) as branch_name,
+seed_branches as (select cast(null as bigint) as branch_key, cast(null as varchar) as branch_id, cast(null as varchar) as branch_name,
   cast(null as varchar) as branch_location, true as is_active where false),
-seed_time as (select 1 as time_key, date '1900-01-01' as date, 1900 as year, 1 as quarter, 1 as month, 1 as day, 1 as day_of_week,
-  'Monday' as day_name, 'January' as month_name, 1 as week_of_year, false as is_weekend),
-seed_fact as (select cast(null as bigint) as transaction_key, cast(null as integer) as customer_key, cast(null as integer) as product_key,
-  cast(null as integer) as time_key, cast(null as integer) as branch_key, cast(null as varchar) as transaction_id,
+seed_time as (select cast(1 as bigint) as time_key, date '1900-01-01' as date, cast(1900 as bigint) as year, cast(1 as bigint) as quarter,
+  cast(1 as bigint) as month, cast(1 as bigint) as day, cast(1 as bigint) as day_of_week,
+  'Monday' as day_name, 'January' as month_name, cast(1 as bigint) as week_of_year, false as is_weekend),
+seed_fact as (select cast(null as bigint) as transaction_key, cast(null as bigint) as customer_key, cast(null as bigint) as product_key,
+  cast(null as bigint) as time_key, cast(null as bigint) as branch_key, cast(null as varchar) as transaction_id,
   cast(null as varchar) as account_id, cast(null as decimal(18,2)) as transaction_amount, cast(null as varchar) as transaction_type,
   cast(null as varchar) as account_type, cast(null as varchar) as account_status, cast(null as date) as transaction_date,
   cast(null as varchar) as etl_batch_id where false)"""
@@ -118,7 +119,7 @@ def mart_ctes(cleaned: str, p: str, prev: dict, batch_id: str) -> str:
 {p}dim_customers as (
   select t.customer_key, t.customer_id, {upd}, t.is_active from {pc} t left join {p}cs s on t.customer_id = s.customer_id
   union all
-  select cast((select coalesce(max(customer_key), 0) from {pc}) + row_number() over (order by s.customer_id) as integer),
+  select (select coalesce(max(customer_key), 0) from {pc}) + row_number() over (order by s.customer_id),
     s.customer_id, {", ".join("s." + a for a in attrs)}, true
   from {p}cs s where not exists (select 1 from {pc} t where t.customer_id = s.customer_id)),
 {p}ps as (select distinct product_type from {cleaned} where product_type is not null),
@@ -127,7 +128,7 @@ def mart_ctes(cleaned: str, p: str, prev: dict, batch_id: str) -> str:
     case when s.product_type is not null then s.product_type else t.product_name end as product_name, t.product_category, t.is_active
   from {pp} t left join {p}ps s on t.product_type = s.product_type
   union all
-  select cast((select coalesce(max(product_key), 0) from {pp}) + row_number() over (order by s.product_type) as integer),
+  select (select coalesce(max(product_key), 0) from {pp}) + row_number() over (order by s.product_type),
     s.product_type, s.product_type, s.product_type, 'BANKING', true
   from {p}ps s where not exists (select 1 from {pp} t where t.product_type = s.product_type)),
 {p}bs as (select * from (select *, row_number() over (partition by branch_id order by source_row_id desc) as rn
@@ -137,14 +138,14 @@ def mart_ctes(cleaned: str, p: str, prev: dict, batch_id: str) -> str:
     case when s.branch_id is not null then s.branch_location else t.branch_location end as branch_location, t.is_active
   from {pb} t left join {p}bs s on t.branch_id = s.branch_id
   union all
-  select cast((select coalesce(max(branch_key), 0) from {pb}) + row_number() over (order by s.branch_id) as integer),
+  select (select coalesce(max(branch_key), 0) from {pb}) + row_number() over (order by s.branch_id),
     s.branch_id, s.branch_id, s.branch_location, true
   from {p}bs s where not exists (select 1 from {pb} t where t.branch_id = s.branch_id)),
 {p}ds as (select distinct cast(transaction_date as date) as date from {cleaned} where transaction_date is not null),
 {p}dim_time as (
   select * from {pt}
   union all
-  select cast((select coalesce(max(time_key), 0) from {pt}) + row_number() over (order by s.date) as integer), s.date,
+  select (select coalesce(max(time_key), 0) from {pt}) + row_number() over (order by s.date), s.date,
     year(s.date), quarter(s.date), month(s.date), day(s.date), isodow(s.date), dayname(s.date), monthname(s.date),
     week(s.date), isodow(s.date) in (6, 7)
   from {p}ds s where not exists (select 1 from {pt} t where t.date = s.date)),

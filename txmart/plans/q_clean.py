@@ -110,7 +110,7 @@ def _clean_dates_fallback(spark, sf_dir):
     "clean_amounts",
     f"""
     with raw as ({fx.F_RAW_SQL})
-    select id, cast({amount('transaction_amount')} as decimal(18,2)) as transaction_amount
+    select id, cast(cast({amount('transaction_amount')} as decimal(18,2)) as double) as transaction_amount
     from raw where {amount('transaction_amount')} > 0
     """,
 )
@@ -137,7 +137,7 @@ def _clean_text(spark, sf_dir):
     "clean_age",
     f"""
     with raw as ({fx.F_RAW_SQL})
-    select id, customer_age as age_text, cast(trunc(try_cast(customer_age as double)) as integer) as customer_age from raw
+    select id, customer_age as age_text, cast(trunc(try_cast(customer_age as double)) as bigint) as customer_age from raw
     """,
 )
 def _clean_age(spark, sf_dir):
@@ -191,7 +191,7 @@ def _missing_profile(spark, sf_dir):
 # ---------------------------------------------------------------- dedupe, whole clean, accounting
 
 
-@register("cleaned_rows", f"with {CLEANED_CTES} select * from cleaned")
+@register("cleaned_rows", f"with {CLEANED_CTES} select * replace (cast(transaction_amount as double) as transaction_amount) from cleaned")
 def _cleaned_rows(spark, sf_dir):
     """C-1..C-9 composed: the cleaned batch."""
     return cl.clean_transactions(fx.raw_transactions(spark, sf_dir))
@@ -220,7 +220,7 @@ _LINEITEM_COLS = (
 @register(
     "dedupe_first_lineitem",
     f"""
-    select {", ".join(_LINEITEM_COLS)} from (
+    select {", ".join(c if c != "l_linenumber" else "cast(l_linenumber as bigint) as l_linenumber" for c in _LINEITEM_COLS)} from (
       select *, row_number() over (partition by l_orderkey, l_linenumber
         order by {", ".join(_LINEITEM_COLS[2:])}) as rn from lineitem) where rn = 1
     """,
@@ -243,7 +243,7 @@ def _dedupe_first_lineitem(spark, sf_dir):
       (select count(*) from tagged where reject_reason = 'missing_text') as rejected_missing_text,
       (select count(*) from tagged where reject_reason = 'missing_critical') as rejected_missing_critical,
       (select count(*) from g) as rows_kept,
-      (select coalesce(sum(n - 1), 0) from g) as rejected_duplicate,
+      (select cast(coalesce(sum(n - 1), 0) as bigint) from g) as rejected_duplicate,
       (select count(*) from tagged) - (select count(*) from g) as rows_rejected
     """,
 )

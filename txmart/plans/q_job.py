@@ -21,7 +21,9 @@ FACT_OUT = [
     "transaction_key", "customer_key", "product_key", "time_key", "branch_key", "transaction_id", "account_id",
     "transaction_amount", "transaction_type", "account_type", "account_status", "transaction_date",
 ]
-ORACLE = f"with {two_loads_sql()} select {', '.join(FACT_OUT)} from n_fact"
+ORACLE = (f"with {two_loads_sql()} select "
+          + ", ".join("cast(transaction_amount as double) as transaction_amount" if c == "transaction_amount" else c for c in FACT_OUT)
+          + " from n_fact")
 
 
 # F_RAW column -> header of a delivered file. Product type and segment keep their

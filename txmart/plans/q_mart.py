@@ -26,6 +26,8 @@ FACT_COLS = (
     "transaction_key, customer_key, product_key, time_key, branch_key, transaction_id, account_id, transaction_amount, "
     "transaction_type, account_type, account_status, transaction_date, etl_batch_id"
 )
+# the same columns in oracle SQL, money as double like the portable Spark output
+FACT_SQL = FACT_COLS.replace("transaction_amount,", "cast(transaction_amount as double) as transaction_amount,")
 
 
 def _cols(s: str):
@@ -70,13 +72,13 @@ def _dim_time(spark, sf_dir):
     return one_load(spark, sf_dir).time.select(*_cols(TIME_COLS))
 
 
-@register("fact_transactions", f"with {one_load_sql('B1')} select {FACT_COLS} from m_fact")
+@register("fact_transactions", f"with {one_load_sql('B1')} select {FACT_SQL} from m_fact")
 def _fact_transactions(spark, sf_dir):
     """D-9/J-1/J-2: first row per transaction id, dimension keys with unknown members."""
     return one_load(spark, sf_dir).fact.select(*_cols(FACT_COLS))
 
 
-@register("fact_second_load", f"with {two_loads_sql()} select {FACT_COLS} from n_fact")
+@register("fact_second_load", f"with {two_loads_sql()} select {FACT_SQL} from n_fact")
 def _fact_second_load(spark, sf_dir):
     """D-9 across two loads: keys continue, existing transaction ids are not re-inserted."""
     return two_loads(spark, sf_dir).fact.select(*_cols(FACT_COLS))
@@ -97,7 +99,7 @@ def _insert_if_absent(spark, sf_dir):
 @register(
     "surrogate_keys",
     """
-    select l_orderkey, l_linenumber, row_number() over (order by l_orderkey, l_linenumber) as line_key
+    select l_orderkey, cast(l_linenumber as bigint) as l_linenumber, row_number() over (order by l_orderkey, l_linenumber) as line_key
     from (select distinct l_orderkey, l_linenumber from lineitem)
     """,
 )

@@ -44,7 +44,7 @@ def _dups_sql(table: str, src: str, keys) -> str:
     return (
         f"select '{table}' as table_name, 'DUPLICATES' as metric_name, cast(coalesce(sum(case when n > 1 then n end), 0) as double) as metric_value, "
         f"case when coalesce(sum(n), 0) > 0 then {r2('cast(coalesce(sum(case when n > 1 then n end), 0) as double) / sum(n) * 100')} else 0 end as metric_percentage, "
-        f"coalesce(sum(n), 0) as record_count, case when coalesce(sum(case when n > 1 then n end), 0) = 0 then 'PASS' else 'WARNING' end as quality_status "
+        f"cast(coalesce(sum(n), 0) as bigint) as record_count, case when coalesce(sum(case when n > 1 then n end), 0) = 0 then 'PASS' else 'WARNING' end as quality_status "
         f"from (select {k}, count(*) as n from {src} group by {k})"
     )
 

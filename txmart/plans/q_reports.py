@@ -108,7 +108,8 @@ def _quality_trend(spark, sf_dir):
     "recent_metrics",
     f"""
     with {_QM_SQL}
-    select quality_key, etl_batch_id, table_name, metric_name, metric_value, metric_percentage, record_count, quality_status, checked_at
+    select quality_key, etl_batch_id, table_name, metric_name, cast(metric_value as double) as metric_value,
+      cast(metric_percentage as double) as metric_percentage, record_count, quality_status, checked_at
     from qm where checked_at >= timestamp '{AS_OF}' - interval 7 day
     """,
 )
@@ -121,7 +122,7 @@ def _recent_metrics(spark, sf_dir):
     "latest_batch_report",
     f"""
     with {_QM_SQL}
-    select quality_key, etl_batch_id, table_name, metric_name, metric_percentage, quality_status
+    select quality_key, etl_batch_id, table_name, metric_name, cast(metric_percentage as double) as metric_percentage, quality_status
     from qm where etl_batch_id = (select max(etl_batch_id) from qm)
     """,
 )
@@ -136,9 +137,10 @@ def _latest_batch_report(spark, sf_dir):
     with {_RL_SQL}
     select cast(execution_start as date) as run_date, avg(execution_duration_seconds) as avg_duration_sec,
       max(execution_duration_seconds) as max_duration_sec, count(*) as total_runs,
-      sum(case when execution_status = 'SUCCESS' then 1 else 0 end) as successful_runs,
+      cast(sum(case when execution_status = 'SUCCESS' then 1 else 0 end) as bigint) as successful_runs,
       round(100.0 * sum(case when execution_status = 'SUCCESS' then 1 else 0 end) / count(*), 2) as success_rate_pct,
-      sum(rows_extracted) as total_extracted, sum(rows_loaded) as total_loaded, sum(rows_rejected) as total_rejected
+      cast(sum(rows_extracted) as bigint) as total_extracted, cast(sum(rows_loaded) as bigint) as total_loaded,
+      cast(sum(rows_rejected) as bigint) as total_rejected
     from rl where execution_start >= timestamp '{AS_OF}' - interval 30 day
     group by 1
     """,
