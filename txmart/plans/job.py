@@ -69,7 +69,9 @@ def _now() -> dt.datetime:
 def extract(spark: SparkSession, paths, fmt: str | None = None) -> DataFrame:
     """S-1..S-4: rows of the delivered files with file name and file MD5."""
     rows = files.with_provenance(files.read_source(spark, paths, fmt))
-    return files.stamp_hashes(rows, files.file_hashes(spark, paths))
+    # one row per file; checkpointed so each file's bytes are hashed once
+    hashes = files.file_hashes(spark, paths).checkpoint(eager=True)
+    return files.stamp_hashes(rows, hashes)
 
 
 def run(spark: SparkSession, paths, warehouse_root: str, settings: Settings | None = None, now: dt.datetime | None = None,

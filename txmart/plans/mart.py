@@ -9,6 +9,7 @@ and the fact load do not repeat the cleaning.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,9 +64,14 @@ def build_mart(
     s = settings or Settings()
     ensure_checkpoint_dir(raw.sparkSession)
     cleaned = cleaned_layer(clean_transactions(raw, s, date_mode), now).checkpoint(eager=True)
-    customers = dm.merge_customers(current["customers"], cleaned, now=now).checkpoint(eager=True)
-    products = dm.merge_products(current["products"], cleaned, now=now).checkpoint(eager=True)
-    branches = dm.merge_branches(current["branches"], cleaned, now=now).checkpoint(eager=True)
-    time = dm.merge_time(current["time"], cleaned).checkpoint(eager=True)
+    # the four merges are independent jobs; submit them side by side
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        futures = [
+            pool.submit(lambda: dm.merge_customers(current["customers"], cleaned, now=now).checkpoint(eager=True)),
+            pool.submit(lambda: dm.merge_products(current["products"], cleaned, now=now).checkpoint(eager=True)),
+            pool.submit(lambda: dm.merge_branches(current["branches"], cleaned, now=now).checkpoint(eager=True)),
+            pool.submit(lambda: dm.merge_time(current["time"], cleaned).checkpoint(eager=True)),
+        ]
+        customers, products, branches, time = [f.result() for f in futures]
     added = new_facts(cleaned, customers, products, time, branches, current["fact"], batch_id, now, s.broadcast_max_rows)
     return Mart(cleaned, customers, products, branches, time, current["fact"].unionByName(added), added)

@@ -50,3 +50,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     checkpoint_root(spark)
+
+
+def cluster_conf(input_bytes: int, executor_cores: int = 4, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized for a batch of ``input_bytes`` on a cluster: scan splits and the
+    initial shuffle partition count from the input size (AQE then coalesces small
+    partitions and splits skewed join partitions at run time)."""
+    parts = max(200, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.executor.cores": str(executor_cores),
+    }

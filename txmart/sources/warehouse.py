@@ -33,7 +33,8 @@ class Warehouse:
     def current_version(self, table: str) -> int | None:
         if table not in self._current:
             try:
-                row = self.spark.read.json(f"{self.table_path(table)}/_commits/*").agg(F.max("version")).first()
+                markers = self.spark.read.schema("version long").json(f"{self.table_path(table)}/_commits/*")
+                row = markers.agg(F.max("version")).first()
                 self._current[table] = None if row[0] is None else int(row[0])
             except AnalysisException:
                 self._current[table] = None
@@ -41,7 +42,8 @@ class Warehouse:
 
     def _commit(self, table: str, version: int) -> None:
         marker = f"{self.table_path(table)}/_commits/{version:09d}"
-        self.spark.createDataFrame([(version,)], "version long").coalesce(1).write.mode("errorifexists").json(marker)
+        one = self.spark.range(1).select(F.lit(version).cast("long").alias("version"))
+        one.coalesce(1).write.mode("errorifexists").json(marker)
         self._current[table] = version
 
     # -------------------------------------------------------------- S-14 / S-15 / S-13
