@@ -84,6 +84,20 @@ def fact_rows(resolved: DataFrame, batch_id, now=None) -> DataFrame:
     )
 
 
+def already_loaded(rows: DataFrame, existing: DataFrame, broadcast_max_rows: int | None) -> DataFrame:
+    """The batch's transaction ids that the fact already holds.
+
+    When the batch's ids are provably few, the fact's ``transaction_id`` column is
+    semi-joined against them by broadcast: the fact is scanned once (one column, no
+    shuffle) and only the conflicting ids come out. Otherwise both sides shuffle on the id.
+    """
+    batch_ids = rows.select("transaction_id")
+    fact_ids = existing.select("transaction_id")
+    if broadcast_max_rows and batch_ids.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows:
+        return fact_ids.join(F.broadcast(batch_ids), "transaction_id", "left_semi")
+    return fact_ids.join(batch_ids, "transaction_id", "left_semi")
+
+
 def new_facts(
     cleaned: DataFrame,
     customers: DataFrame,
@@ -104,7 +118,7 @@ def new_facts(
     """
     resolved = resolve_keys(not_loaded(cleaned), customers, products, time, branches, broadcast_max_rows)
     rows = keep_first(fact_rows(resolved, batch_id, now), ["transaction_id"], "source_row_id")
-    rows = rows.join(existing.select("transaction_id"), "transaction_id", "left_anti").drop("source_row_id")
+    rows = rows.join(already_loaded(rows, existing, broadcast_max_rows), "transaction_id", "left_anti").drop("source_row_id")
     keyed = assign_keys(rows, "transaction_key", ["transaction_id"], base=next_key_base(existing, "transaction_key"))
     return keyed.select(*[F.col(f.name).cast(f.dataType) for f in FACT.fields])
 

@@ -250,3 +250,54 @@ def _dedupe_first_lineitem(spark, sf_dir):
 def _reject_counts(spark, sf_dir):
     """C-10: rows read = kept + rejected, with the reason of every rejection."""
     return cl.reject_counts(fx.raw_transactions(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- staging payload, scans, samples
+
+from txmart.operators import quality as _q  # noqa: E402
+from txmart.operators.fact import take_unprocessed  # noqa: E402
+from txmart.settings import CANONICAL_COLUMNS  # noqa: E402
+from txmart.sources.staging import raw_payload  # noqa: E402
+
+_JSON_SQL = "cast(to_json({" + ", ".join(f"'{c}': {c}" for c in CANONICAL_COLUMNS) + "}) as varchar)"
+
+
+@register("raw_json", f"with raw as ({fx.F_RAW_SQL}) select id, {_JSON_SQL} as raw_data from raw")
+def _raw_json(spark, sf_dir):
+    """S-6: each staged row as JSON text with nulls kept."""
+    return fx.raw_transactions(spark, sf_dir).select("id", raw_payload(CANONICAL_COLUMNS).alias("raw_data"))
+
+
+@register("row_md5", f"with raw as ({fx.F_RAW_SQL}) select id, md5({_JSON_SQL}) as row_md5 from raw")
+def _row_md5(spark, sf_dir):
+    """§2.9 MD5 hex of each row's JSON payload."""
+    return fx.raw_transactions(spark, sf_dir).select("id", F.md5(raw_payload(CANONICAL_COLUMNS)).alias("row_md5"))
+
+
+@register(
+    "unprocessed_scan",
+    f"""
+    with raw as ({fx.F_RAW_SQL})
+    select id, customer_id, transaction_id, transaction_date from raw
+    where not coalesce(transaction_date < '1998', false)
+    """,
+)
+def _unprocessed_scan(spark, sf_dir):
+    """S-7: after the first delivery (order dates before 1998) was processed, the scan
+    returns the rows not yet processed."""
+    raw = fx.raw_transactions(spark, sf_dir)
+    staged = raw.withColumn("is_processed", F.coalesce(F.col("transaction_date") < "1998", F.lit(False)))
+    batch, _ = take_unprocessed(staged)
+    return batch.select("id", "customer_id", "transaction_id", "transaction_date")
+
+
+@register(
+    "recent_sample",
+    """
+    select event_id, ts, event_type from events order by ts desc, event_id desc limit 50000
+    """,
+)
+def _recent_sample(spark, sf_dir):
+    """S-12: the newest 50,000 rows by time (the source's quality sample; a top-k)."""
+    ev = _t(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    return ev.orderBy(F.col("ts").desc(), F.col("event_id").desc()).limit(50_000)

@@ -19,20 +19,24 @@ def skip_staged_files(rows: DataFrame, staged: DataFrame) -> DataFrame:
     return rows.join(seen, "source_file_hash", "left_anti")
 
 
+def raw_payload(cols) -> "F.Column":
+    """S-6 ``raw_data``: the row as JSON text, nulls kept (``{"customer_id":"C1","x":null}``)."""
+    return F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"})
+
+
 def stage_rows(delivered: DataFrame, staged: DataFrame, now, conform_input: bool = True) -> DataFrame:
     """S-6: conformed rows with provenance, ``raw_data`` JSON, flags and new ids.
 
     ``delivered`` carries the file's columns plus ``source_file_name``,
     ``source_file_hash`` and ``_source_file_path`` (see ``sources.files``). Ids continue
     from the staged maximum in (file, position-in-file) order; the position is
-    ``monotonically_increasing_id`` over the file scan, which is stable for a given set
-    of files.
+    ``monotonically_increasing_id`` over the file scan, fixed once by the key
+    assignment's checkpoint.
     """
     pos = delivered.withColumn("_pos", F.monotonically_increasing_id())
     extra = ("source_file_name", "source_file_hash", "_source_file_path", "_pos")
     rows = conform(pos, extra=extra) if conform_input else pos
-    payload = F.to_json(F.struct(*[F.col(c) for c in (*CANONICAL_COLUMNS, "source_file_name", "source_file_hash")]),
-                        {"ignoreNullFields": "false"})
+    payload = raw_payload((*CANONICAL_COLUMNS, "source_file_name", "source_file_hash"))
     ts = F.lit(now).cast("timestamp_ntz")
     rows = rows.withColumns(
         {"raw_data": payload, "is_processed": F.lit(False), "processed_at": F.lit(None).cast("timestamp_ntz"), "created_at": ts}
