@@ -24,20 +24,25 @@ def _as_of(as_of) -> Column:
 def customer_summary(dim_customers: DataFrame, fact: DataFrame, top: int = 20) -> DataFrame:
     """A-1: per active customer — distinct transactions, total, average, last date.
 
-    Customers without transactions stay (left join) and sort first: SQL ``DESC`` puts
-    NULLs first in the source system, so the order is ``total_amount DESC NULLS FIRST``,
-    ties broken by ``customer_key``. ``top`` rows are the report (a top-k), not a cap.
+    The fact is aggregated per ``customer_key`` first (one row per customer leaves the
+    fact side), then left-joined to the customers, so the big side is never shuffled for
+    the join. Customers without transactions stay and sort first: SQL ``DESC`` puts NULLs
+    first in the source system, so the order is ``total_amount DESC NULLS FIRST``, ties
+    broken by ``customer_key``. ``top`` rows are the report (a top-k), not a cap.
     """
     c = dim_customers.where(F.col("is_active")).select("customer_key", "customer_name", "customer_segment")
-    t = fact.select("customer_key", "transaction_id", "transaction_amount", "transaction_date")
+    per_customer = fact.groupBy("customer_key").agg(
+        F.count_distinct("transaction_id").alias("transaction_count"),
+        F.sum("transaction_amount").alias("total_amount"),
+        F.avg("transaction_amount").alias("avg_amount"),
+        F.max("transaction_date").alias("last_transaction"),
+    )
     out = (
-        c.join(t, "customer_key", "left")
-        .groupBy("customer_key", "customer_name", "customer_segment")
-        .agg(
-            F.count_distinct("transaction_id").alias("transaction_count"),
-            F.sum("transaction_amount").alias("total_amount"),
-            F.avg("transaction_amount").alias("avg_amount"),
-            F.max("transaction_date").alias("last_transaction"),
+        c.join(per_customer, "customer_key", "left")
+        .select(
+            "customer_key", "customer_name", "customer_segment",
+            F.coalesce(F.col("transaction_count"), F.lit(0)).alias("transaction_count"),
+            "total_amount", "avg_amount", "last_transaction",
         )
         .orderBy(F.col("total_amount").desc_nulls_first(), F.col("customer_key"))
     )
@@ -47,29 +52,30 @@ def customer_summary(dim_customers: DataFrame, fact: DataFrame, top: int = 20) -
 def product_performance(dim_products: DataFrame, fact: DataFrame) -> DataFrame:
     """A-2: per active product — transactions, volume, average, customers and penetration.
 
+    The fact is aggregated per ``product_key`` before the join to the products.
     Penetration = distinct customers of the product / distinct customers of all facts,
     the denominator a one-row aggregate joined by broadcast (its size is one row).
     """
     p = dim_products.where(F.col("is_active")).select("product_key", "product_type", "product_name")
-    t = fact.select("product_key", "customer_key", "transaction_id", "transaction_amount")
-    all_customers = fact.agg(F.count_distinct("customer_key").alias("_all_customers"))
-    per_product = (
-        p.join(t, "product_key", "left")
-        .groupBy("product_key", "product_type", "product_name")
-        .agg(
-            F.count_distinct("transaction_id").alias("transaction_count"),
-            F.sum("transaction_amount").alias("total_volume"),
-            F.avg("transaction_amount").alias("avg_transaction"),
-            F.count_distinct("customer_key").alias("customer_count"),
-        )
+    per_product = fact.groupBy("product_key").agg(
+        F.count_distinct("transaction_id").alias("transaction_count"),
+        F.sum("transaction_amount").alias("total_volume"),
+        F.avg("transaction_amount").alias("avg_transaction"),
+        F.count_distinct("customer_key").alias("customer_count"),
     )
+    all_customers = fact.agg(F.count_distinct("customer_key").alias("_all_customers"))
     return (
-        per_product.crossJoin(F.broadcast(all_customers))
-        .withColumn(
-            "customer_penetration_pct",
-            F.round((F.col("customer_count") * 100).cast("decimal(38,0)") / F.col("_all_customers"), 2),
+        p.join(per_product, "product_key", "left")
+        .crossJoin(F.broadcast(all_customers))
+        .select(
+            "product_key", "product_type", "product_name",
+            F.coalesce(F.col("transaction_count"), F.lit(0)).alias("transaction_count"),
+            "total_volume", "avg_transaction",
+            F.coalesce(F.col("customer_count"), F.lit(0)).alias("customer_count"),
+            F.round(
+                (F.coalesce(F.col("customer_count"), F.lit(0)) * 100).cast("decimal(38,0)") / F.col("_all_customers"), 2
+            ).alias("customer_penetration_pct"),
         )
-        .drop("_all_customers")
         .orderBy(F.col("total_volume").desc_nulls_first(), F.col("product_key"))
     )
 
