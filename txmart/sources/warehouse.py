@@ -30,15 +30,25 @@ class Warehouse:
     def version_path(self, table: str, version: int) -> str:
         return f"{self.table_path(table)}/v{version:09d}"
 
+    def _load_versions(self) -> None:
+        """Read every table's commit markers in one small job: table -> latest version."""
+        found: dict[str, int] = {}
+        try:
+            markers = self.spark.read.schema("version long").json(f"{self.root}/*/*/_commits/*")
+            table_dir = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/([^/]+)/_commits/", 0)
+            rows = markers.groupBy(table_dir.alias("t")).agg(F.max("version").alias("v")).collect()  # one row per table
+            for r in rows:
+                layer, name = r["t"].strip("/").split("/")[:2]
+                found[f"{layer}.{name}"] = int(r["v"])
+        except AnalysisException:
+            pass
+        self._current = {t: found.get(t) for t in schemas.TABLES}
+        self._loaded = True
+
     def current_version(self, table: str) -> int | None:
-        if table not in self._current:
-            try:
-                markers = self.spark.read.schema("version long").json(f"{self.table_path(table)}/_commits/*")
-                row = markers.agg(F.max("version")).first()
-                self._current[table] = None if row[0] is None else int(row[0])
-            except AnalysisException:
-                self._current[table] = None
-        return self._current[table]
+        if not getattr(self, "_loaded", False):
+            self._load_versions()
+        return self._current.get(table)
 
     def _commit(self, table: str, version: int) -> None:
         marker = f"{self.table_path(table)}/_commits/{version:09d}"
