@@ -61,3 +61,24 @@ def test_incremental_stream_matches_batch_job(spark, tmp_root):
     b = Warehouse(spark, wh_b).read(job.FACT).select(*cols_out)
     assert a.count() == b.count() > n1
     assert a.exceptAll(b).count() == 0
+
+
+def test_empty_delivery_raises(spark, tmp_root):
+    import pytest
+
+    from txmart.sources.files import EmptyInput
+
+    p = f"{tmp_root}/empty.csv"
+    with open(p, "w") as fh:
+        fh.write("Customer ID,TransactionID\n")
+    with pytest.raises(EmptyInput):
+        job.run(spark, [p], f"{tmp_root}/wh")
+
+
+def test_unsupported_format(spark, tmp_root):
+    import pytest
+
+    from txmart.sources.files import read_source
+
+    with pytest.raises(ValueError, match="Unsupported file format"):
+        read_source(spark, [f"{tmp_root}/book.xlsx"])

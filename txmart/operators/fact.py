@@ -177,10 +177,34 @@ def watermark(marks: DataFrame, col: str) -> int:
 def with_run_flags(df: DataFrame, marks: DataFrame, id_col: str, through_col: str, flag: str, at: str) -> DataFrame:
     """The reference-shaped flag columns of an append-only table, derived from the run
     marks: ``flag`` = id <= the latest watermark; ``at`` = the time of the first run whose
-    watermark covers the id. The marks (one row per run) are broadcast; the time is found
-    with a range condition against them."""
-    m = marks.select(F.col(through_col).alias("_hi"), F.col("marked_at").alias("_at")).where(F.col("_hi").isNotNull())
-    w_lo = F.lag("_hi").over(Window.orderBy("_hi"))  # one row per run
-    ranges = m.select("_hi", "_at", F.coalesce(w_lo, F.lit(-1)).alias("_lo"))
-    j = df.drop(flag, at).join(F.broadcast(ranges), (F.col(id_col) > F.col("_lo")) & (F.col(id_col) <= F.col("_hi")), "left")
-    return j.withColumn(flag, F.col("_hi").isNotNull()).withColumn(at, F.col("_at")).drop("_hi", "_at", "_lo").select(*df.columns)
+    watermark covers the id.
+
+    The watermarks (one per run, a bounded list) become the splits of a ``Bucketizer``,
+    which finds each row's run by binary search; the run times join back by broadcast on
+    the bucket number. No row is compared against every run.
+    """
+    firsts = (
+        marks.where(F.col(through_col).isNotNull())
+        .groupBy(F.col(through_col).alias("_hi"))
+        .agg(F.min("marked_at").alias("_at"))
+        .orderBy("_hi")
+        .collect()  # one row per distinct watermark (bounded by the number of runs)
+    )
+    out = df.drop(flag, at)
+    if not firsts:
+        return out.withColumn(flag, F.lit(False)).withColumn(at, F.lit(None).cast("timestamp_ntz")).select(*df.columns)
+    from pyspark.ml.feature import Bucketizer
+
+    splits = [float("-inf")] + [float(r["_hi"]) + 0.5 for r in firsts] + [float("inf")]
+    times = df.sparkSession.createDataFrame(
+        [(float(i), r["_at"]) for i, r in enumerate(firsts)], "_bucket double, _at timestamp_ntz"
+    )
+    bucketed = Bucketizer(splits=splits, inputCol="_idd", outputCol="_bucket").transform(
+        out.withColumn("_idd", F.col(id_col).cast("double"))
+    )
+    j = bucketed.join(F.broadcast(times), "_bucket", "left")
+    return (
+        j.withColumn(flag, F.col(id_col) <= F.lit(int(firsts[-1]["_hi"])))
+        .withColumn(at, F.col("_at"))
+        .select(*df.columns)
+    )

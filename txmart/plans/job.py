@@ -76,8 +76,10 @@ def extract(spark: SparkSession, paths, fmt: str | None = None) -> DataFrame:
 
 def run(spark: SparkSession, paths, warehouse_root: str, settings: Settings | None = None, now: dt.datetime | None = None,
         batch_id: str | None = None, skip_redelivered: bool = True, fmt: str | None = None) -> RunSummary:
-    """R-1 over delivered files (a folder of part files needs ``fmt``)."""
-    return run_batch(spark, extract(spark, paths, fmt), warehouse_root, settings, now, batch_id, skip_redelivered)
+    """R-1 over delivered files (a folder of part files needs ``fmt``). An empty delivery
+    raises ``EmptyInput`` (S-3) before anything is written."""
+    delivered = files.require_rows(extract(spark, paths, fmt))
+    return run_batch(spark, delivered, warehouse_root, settings, now, batch_id, skip_redelivered)
 
 
 def run_batch(spark: SparkSession, delivered: DataFrame, warehouse_root: str, settings: Settings | None = None,
