@@ -16,6 +16,8 @@ LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of DataFrames that are gone are deleted by the context cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -67,4 +69,5 @@ def cluster_conf(input_bytes: int, executor_cores: int = 4, target_partition_byt
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.executor.cores": str(executor_cores),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
