@@ -25,13 +25,13 @@ from txmart.plans.mart import cleaned_layer
 from txmart.session import ensure_checkpoint_dir
 from txmart.settings import Settings
 from txmart.sources import files
-from txmart.sources.staging import persist_cleaned, skip_staged_files, stage_rows
+from txmart.sources.staging import delivered_file_rows, persist_cleaned, skip_staged_files, stage_rows
 from txmart.sources.warehouse import Warehouse
 
 RAW, CLEANED = "staging.raw_banking_data", "staging.cleaned_banking_data"
 CUST, PROD, BRAN, TIME, FACT = (f"mart.{t}" for t in ("dim_customers", "dim_products", "dim_branches", "dim_time", "fact_transactions"))
 METRICS, RUNLOG = "audit.data_quality_metrics", "audit.etl_execution_log"
-MARKS = "staging.run_marks"
+MARKS, FILES = "staging.run_marks", "staging.delivered_files"
 
 
 @dataclass
@@ -104,10 +104,11 @@ def run_batch(spark: SparkSession, delivered: DataFrame, warehouse_root: str, se
     # extract + stage (S-6, I-2): the raw table is append-only
     staged = wh.read(RAW)
     if skip_redelivered:
-        delivered = skip_staged_files(delivered, staged)
+        delivered = skip_staged_files(delivered, wh.read(FILES))
     new_raw = stage_rows(delivered, staged, now)  # checkpointed inside the key assignment
     extracted = new_raw.count()
     wh.append(RAW, new_raw)
+    wh.append(FILES, delivered_file_rows(new_raw, batch_id, now))
     lap("stage")
 
     # transform (S-7, C-*, S-8). Processed = id <= the processed watermark, so the

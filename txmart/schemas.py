@@ -159,11 +159,21 @@ RUN_MARKS = _struct(
     ("marked_at", TS, False),
 )
 
+# One row per staged file: what the re-delivery guard (I-2) checks, instead of the raw history.
+DELIVERED_FILES = _struct(
+    ("source_file_hash", S, True),
+    ("source_file_name", S, True),
+    ("rows_staged", L, False),
+    ("etl_batch_id", S, False),
+    ("staged_at", TS, False),
+)
+
 # Table name -> schema, in the layers they live in.
 TABLES = {
     "staging.raw_banking_data": RAW,
     "staging.cleaned_banking_data": CLEANED,
     "staging.run_marks": RUN_MARKS,
+    "staging.delivered_files": DELIVERED_FILES,
     "mart.dim_customers": DIM_CUSTOMERS,
     "mart.dim_products": DIM_PRODUCTS,
     "mart.dim_branches": DIM_BRANCHES,

@@ -11,14 +11,22 @@ from txmart.operators.keys import assign_keys, next_key_base
 from txmart.settings import CANONICAL_COLUMNS
 
 
-def skip_staged_files(rows: DataFrame, staged: DataFrame) -> DataFrame:
+def skip_staged_files(rows: DataFrame, delivered_files: DataFrame) -> DataFrame:
     """I-2: drop rows of files whose MD5 is already staged (a re-delivered file, even
-    under another name). The staged hashes are a distinct set of file hashes — one row
-    per delivered file — joined as a left anti join."""
-    seen = staged.select("source_file_hash").where(F.col("source_file_hash").isNotNull()).distinct()
+    under another name). ``delivered_files`` has one row per staged file, so the guard
+    never scans the raw history; its hashes are joined as a left anti join."""
+    seen = delivered_files.select("source_file_hash").where(F.col("source_file_hash").isNotNull()).distinct()
     return rows.join(seen, "source_file_hash", "left_anti")
 
 
+def delivered_file_rows(new_raw: DataFrame, batch_id: str, now) -> DataFrame:
+    """One row per file staged by this run (a partial-aggregated group-by on the file)."""
+    return new_raw.groupBy("source_file_hash", "source_file_name").agg(F.count("*").alias("rows_staged")).select(
+        "source_file_hash", "source_file_name", "rows_staged",
+        F.lit(batch_id).alias("etl_batch_id"), F.lit(now).cast("timestamp_ntz").alias("staged_at"),
+    )
+
+
 def raw_payload(cols) -> "F.Column":
     """S-6 ``raw_data``: the row as JSON text, nulls kept (``{"customer_id":"C1","x":null}``)."""
     return F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"})
