@@ -71,3 +71,4 @@ def cluster_conf(input_bytes: int, executor_cores: int = 4, target_partition_byt
         "spark.executor.cores": str(executor_cores),
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
+
