@@ -66,9 +66,12 @@ def file_hashes(spark: SparkSession, paths) -> DataFrame:
     )
 
 
-def stamp_hashes(df: DataFrame, hashes: DataFrame) -> DataFrame:
-    """Join each row to its file's hash (one row per file: a broadcast of bounded size)."""
-    return df.join(F.broadcast(hashes), "_source_file_path", "left")
+def stamp_hashes(df: DataFrame, hashes: DataFrame, broadcast_max_files: int = 100_000) -> DataFrame:
+    """Join each row to its file's hash. The hash table has one row per file; it is
+    broadcast when a bounded count shows at most ``broadcast_max_files`` files, else
+    the join is left to Spark."""
+    small = hashes.limit(broadcast_max_files + 1).count() <= broadcast_max_files
+    return df.join(F.broadcast(hashes) if small else hashes, "_source_file_path", "left")
 
 
 def require_rows(df: DataFrame) -> DataFrame:
