@@ -36,7 +36,8 @@ def _process(spark: SparkSession, warehouse_root: str, settings: Settings, now:
         paths = [r[0] for r in batch.select("_source_file_path").distinct().collect()]
         if not paths:
             return
-        delivered = files.stamp_hashes(batch, files.file_hashes(spark, paths))
+        hashes = files.file_hashes(spark, paths).checkpoint(eager=True)  # each file hashed once
+        delivered = files.stamp_hashes(batch, hashes)
         stamp = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         job.run_batch(spark, delivered, warehouse_root, settings, now=stamp,
                       batch_id=f"{stamp:%Y%m%d_%H%M%S}_e{epoch_id}")
