@@ -38,3 +38,18 @@ def test_amount_equals_python(spark, values):
     want = [python_amount(v) for v in values]
     for g, w, v in zip(got, want, values):
         assert (g is None and (w is None or math.isnan(w))) or g == w, v
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.integers(min_value=-10**9, max_value=10**9), min_size=1, max_size=300, unique=True),
+       st.integers(min_value=1, max_value=9), st.integers(min_value=0, max_value=50))
+def test_assign_keys_equals_row_number(spark, keys, parts, base):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from txmart.operators.keys import assign_keys
+
+    df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(parts)
+    got = {r["k"]: r["key"] for r in assign_keys(df, "key", ["k"], base=base, num_partitions=parts).collect()}
+    want = {r["k"]: r["key"] for r in df.select("k", (F.row_number().over(Window.orderBy("k")) + base).alias("key")).collect()}
+    assert got == want
