@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 
 from txmart.operators import clean as cl
 from txmart.operators import conform as cf
+from txmart.operators.fact import take_unprocessed
 from txmart.plans import fixtures as fx
 from txmart.plans.oracle_sql import CLEANED_CTES, F_DATES_CTE, amount, date_mode_cte, parse_by_mode, title, trim_ws
 from txmart.plans.registry import _t, register
+from txmart.settings import CANONICAL_COLUMNS
+from txmart.sources.staging import raw_payload
 
 # ---------------------------------------------------------------- conform
 
@@ -254,11 +257,6 @@ def _reject_counts(spark, sf_dir):
 
 # ---------------------------------------------------------------- staging payload, scans, samples
 
-from txmart.operators import quality as _q  # noqa: E402
-from txmart.operators.fact import take_unprocessed  # noqa: E402
-from txmart.settings import CANONICAL_COLUMNS  # noqa: E402
-from txmart.sources.staging import raw_payload  # noqa: E402
-
 _JSON_SQL = "cast(to_json({" + ", ".join(f"'{c}': {c}" for c in CANONICAL_COLUMNS) + "}) as varchar)"
 
 
