@@ -70,5 +70,8 @@ def cluster_conf(input_bytes: int, executor_cores: int = 4, target_partition_byt
         "spark.sql.parquet.filterPushdown": "true",
         "spark.executor.cores": str(executor_cores),
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # runtime Bloom filters from the small side of a shuffled join (e.g. the batch's
+        # transaction ids) pre-filter the big side's scan before its shuffle
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     }
 
