@@ -5,7 +5,8 @@ of its id, ``weight`` its quality weight, so reruns agree and better documents c
 A source's target is its weight's share of all words, at most ``max_epochs`` times its own
 words; the excess goes to the other sources by weight (water filling). A source gives
 ``floor(target / words)`` complete epochs, then whole documents in key order until the rest
-of the target is reached; the document that crosses it is taken if that ends nearer.
+of the target is reached; the document that crosses it is taken if that ends nearer, else
+skipped for the ones after it.
 
 The prefix sum over a source is distributed: rows are range-partitioned by (source, key),
 checkpointed, summed per partition, and only the per-partition sums are scanned before the
@@ -61,7 +62,7 @@ def source_targets(sizes: DataFrame, cycle: tuple = (1, 2, 3), max_epochs: int =
     total = F.sum("source_size").over(every)
     rate = (total - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / (F.sum("w").over(every) - F.coalesce(F.sum("w").over(before), F.lit(0.0)))
     per = per.withColumn("rate", rate).withColumn("capped", F.col("cap") <= F.col("rate") * F.col("w"))
-    common = F.min(F.when(~F.col("capped"), F.col("rate"))).over(every)
+    common = F.max(F.when(~F.col("capped"), F.col("rate"))).over(every)  # the first: it falls from there on
     target = F.when(F.col("capped"), F.col("cap")).otherwise(F.col("w") * common)
     return per.select("source", "source_no", "source_size", target.alias("target"))
 
@@ -84,9 +85,14 @@ def mix(docs: DataFrame, weights: DataFrame, default_weight: float = WEIGHTS[2],
     inside = Window.partitionBy("source_no", "part").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = ranged.join(offsets, ["source_no", "part"]).withColumn("before", F.col("offset") + F.sum("size").over(inside) - F.col("size"))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
-    rest = F.col("target") - epochs * F.col("source_size")
-    extra = F.when((F.col("size") > 0) & (2 * (rest - F.col("before")) >= F.col("size")), F.lit(1)).otherwise(F.lit(0))
-    return placed.select("doc_id", "source", "size", "source_size", "target", ((epochs + extra) * F.col("size")).cast("long").alias("taken"))
+    placed = placed.withColumn("epochs", epochs).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
+    # at most one document per source crosses the rest; if leaving it out ends nearer, the
+    # documents after it move up by its size
+    crossing = placed.where("before < rest and before + size > rest and 2 * (rest - before) < size").select(F.col("source_no").alias("__n"), F.col("size").alias("skip"))
+    placed = placed.join(crossing, F.col("source_no") == F.col("__n"), "left")
+    start = F.when(F.col("before") >= F.col("rest"), F.col("before") - F.coalesce("skip", F.lit(0))).otherwise(F.col("before"))
+    extra = F.when((F.col("size") > 0) & (2 * (F.col("rest") - start) >= F.col("size")), F.lit(1)).otherwise(F.lit(0))
+    return placed.select("doc_id", "source", "size", "source_size", "target", ((F.col("epochs") + extra) * F.col("size")).cast("long").alias("taken"))
 
 
 ORACLE = r"""
@@ -104,16 +110,21 @@ rated as (
   from wt window b as (order by cap / w, no rows between unbounded preceding and 1 preceding)),
 tgt as (
   select source, no, source_size,
-         case when cap <= rate * w then cap else w * min(case when cap > rate * w then rate end) over () end as target
+         case when cap <= rate * w then cap else w * max(case when cap > rate * w then rate end) over () end as target
   from rated),
 placed as (
   select s.doc_id, s.source, s.size, t.source_size, t.target,
          sum(s.size) over (partition by t.no order by s.key, s.doc_id, s.size rows between unbounded preceding and current row) - s.size as before,
          case when t.source_size > 0 then floor(t.target / t.source_size) else 0 end as epochs
-  from sized s join tgt t on s.source is not distinct from t.source)
+  from sized s join tgt t on s.source is not distinct from t.source),
+rest as (select *, target - epochs * source_size as rest from placed),
+crossed as (
+  select *, case when before >= rest then before - coalesce(max(case when before < rest and before + size > rest and 2 * (rest - before) < size then size end) over (partition by source), 0)
+            else before end as start
+  from rest)
 select doc_id, source, cast(size as bigint) as size, cast(source_size as bigint) as source_size, target,
-       cast((epochs + case when size > 0 and 2 * (target - epochs * source_size - before) >= size then 1 else 0 end) * size as bigint) as taken
-from placed
+       cast((epochs + case when size > 0 and 2 * (rest - start) >= size then 1 else 0 end) * size as bigint) as taken
+from crossed
 """
 
 
