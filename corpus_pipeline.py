@@ -32,8 +32,8 @@ ORACLE_SQL = None
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = quality.classify(docs, table(spark, sf_dir, "labels"), docs.columns)
-    return scored.where(F.col("predicted") == 1).select(*docs.columns)
+    scored = quality.classify(docs, table(spark, sf_dir, "labels"))
+    return scored.where(F.col("predicted") == 1).select("doc.*")
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +41,8 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), carry=docs.columns, with_spans=False)
-    return found.where(F.col("n_hit") == 0).select(*docs.columns)
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), with_spans=False)
+    return found.where(F.col("n_hit") == 0).select("doc.*")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -90,15 +90,16 @@ def branch_keys(values: np.ndarray, depth: int) -> np.ndarray:
 
 
 def _identity(docs: DataFrame) -> DataFrame:
-    """Row identity that allows null ids: ``rid`` (the id, else the text hash), ``th``."""
+    """``doc_id, text`` and a row identity that allows null ids: ``rid`` (the id, else the
+    text hash) and ``th`` (the text hash)."""
     th = F.xxhash64(F.coalesce("text", F.lit("")))
-    return docs.withColumn("th", th).withColumn("rid", F.coalesce(F.col("doc_id"), F.col("th")))
+    return docs.select("doc_id", F.coalesce(F.col("doc_id"), th).alias("rid"), th.alias("th"), "text")
 
 
 def signatures(docs: DataFrame, depth: int) -> DataFrame:
     """``doc_id, rid, th, h, n, sig, near, far``: ``h`` null without shingles; ``near`` and
     ``far`` are the branch keys at the matching and at the full depth."""
-    picked = _identity(docs.select("doc_id", "text")).select("doc_id", "rid", "th", F.col("text").alias("__text"))
+    picked = _identity(docs).select("doc_id", "rid", "th", F.col("text").alias("__text"))
     schema = T._parse_datatype_string("doc_id long, rid long, th long, h long, n int, sig binary, near array<long>, far array<long>")
     schema = T.StructType(picked.schema.fields[:3] + schema.fields[3:])
     arrow = to_arrow_schema(schema)
@@ -243,7 +244,7 @@ def verify(docs: DataFrame, nodes: DataFrame, groups: DataFrame, threshold: floa
             h = [int(set_hash(g).view(np.int64)) if len(g) else None for g in grams]
             yield record_batch([b.column("rid"), b.column("th"), h, [g.tobytes() for g in grams]], arrow)
 
-    own = _identity(docs.select("doc_id", "text")).select("rid", "th", "text").join(member.select("rid", "th"), ["rid", "th"], "left_semi")
+    own = _identity(docs).select("rid", "th", "text").join(member.select("rid", "th"), ["rid", "th"], "left_semi")
     sets = own.mapInArrow(sets_of, schema).dropDuplicates(["h"]).select("h", "grams")
     blocks = F.ceil(F.col("members") / BLOCK).cast("long")
     rows = member.join(sets, "h").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")))
@@ -294,7 +295,10 @@ def deduplicate(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one row per class of near copies (texts without words all stay)."""
     classes = near_duplicates(docs, threshold)
     keep = classes.where("rid = keep_rid and th = keep_th").select("rid", "th").distinct()
-    return _identity(docs).join(keep, ["rid", "th"]).dropDuplicates(["rid", "th"]).select(*docs.columns)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    th = F.xxhash64(F.coalesce("doc.text", F.lit("")))
+    keyed = whole.withColumn("th", th).withColumn("rid", F.coalesce("doc.doc_id", "th"))
+    return keyed.join(keep, ["rid", "th"]).dropDuplicates(["rid", "th"]).select("doc.*")
 
 
 @register("op2_jaccard_join")

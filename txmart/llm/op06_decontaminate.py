@@ -108,29 +108,26 @@ def _original_spans(text: str, hit: np.ndarray) -> list[list[int]]:
     return out
 
 
-def find_contamination(
-    docs: DataFrame, benchmark: DataFrame, window: int = 10, max_benchmark_chars: int = MAX_BENCHMARK_CHARS, carry: Iterable[str] = (), with_spans: bool = True
-) -> DataFrame:
-    """One row per document: ``doc_id, n_words, n_hit, n_items, items`` (ids sorted as
-    strings, comma-joined) and ``spans`` of the original text, plus the ``carry`` columns."""
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_benchmark_chars: int = MAX_BENCHMARK_CHARS, with_spans: bool = True) -> DataFrame:
+    """One row per document: ``doc`` (its row, as a struct, so no column name can clash),
+    ``n_words, n_hit, n_items, items`` (ids sorted as strings, comma-joined) and ``spans``
+    of the original text."""
     spark = docs.sparkSession
     bench = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null").distinct()
     chars = bench.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     if chars > max_benchmark_chars:
         raise ValueError(f"the benchmark has {chars} characters; the automaton is broadcast only up to {max_benchmark_chars}")
     shared = spark.sparkContext.broadcast([(r.item_id, r.text) for r in bench.collect()])
-    keep = [c for c in carry if c != "doc_id"]
-    picked = docs.select("doc_id", *keep, F.col("text").alias("__text"))
-    schema = T.StructType(picked.schema.fields[:-1] + T._parse_datatype_string(FOUND).fields)
+    picked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    schema = T.StructType(picked.schema.fields + T._parse_datatype_string(FOUND).fields)
     arrow = to_arrow_schema(schema)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         auto = automaton(windows(shared.value, window))
         for batch in batches:
-            rows = [scan_text(auto, t, with_spans) for t in batch.column("__text").to_pylist()]
-            cols = [batch.column(i) for i in range(batch.num_columns - 1)]
-            cols += [[r[0] for r in rows], [r[1] for r in rows], [len(r[2]) for r in rows], [",".join(r[2]) for r in rows], [r[3] or [] for r in rows]]
-            yield record_batch(cols, arrow)
+            rows = [scan_text(auto, t, with_spans) for t in batch.column(0).field("text").to_pylist()]
+            cols = [[r[0] for r in rows], [r[1] for r in rows], [len(r[2]) for r in rows], [",".join(r[2]) for r in rows], [r[3] or [] for r in rows]]
+            yield record_batch([batch.column(0), *cols], arrow)
 
     return picked.mapInArrow(scan, schema)
 
@@ -166,6 +163,7 @@ from dw left join cover using (rid) left join items using (rid)
 @register("op6_benchmark_decontamination", ORACLE)
 def op6_benchmark_decontamination(spark, sf_dir):
     """Every document against every benchmark item, windows of 10 words."""
-    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
-    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark"), window=10)
+    return found.select("doc.doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 

@@ -142,10 +142,11 @@ def _joined(spans: Column) -> Column:
 
 
 def attach(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` rows with their ``spans`` (null: none)."""
+    """``doc`` (the row of ``docs``, as a struct, so no column name can clash) and its
+    ``spans`` (null: none)."""
     own = found.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), "spans")
-    keyed = docs.withColumn("__k", text_key(F.col("text")))
-    return keyed.join(own, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__k") == F.col("__h")), "left").drop("__id", "__h", "__k")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), text_key(F.col("text")).alias("__k"))
+    return whole.join(own, F.col("doc.doc_id").eqNullSafe(F.col("__id")) & (F.col("__k") == F.col("__h")), "left").select("doc", "spans")
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", reach: int = REACH) -> DataFrame:
@@ -159,13 +160,16 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", reach: int = REACH) -> DataF
     merged = found.groupBy("doc_id", "h", "__g").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     cuts = merged.groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
     joined = attach(docs, cuts)
+    text = F.col("doc.text")
     part = lambda k: let(
         F.when(k == 0, F.lit(0)).otherwise(F.get(F.col("spans"), k - 1)["end"]),
-        lambda at: F.substring(F.col("text"), (at + 1).cast("int"), (F.coalesce(F.get(F.col("spans"), k)["start"], F.length("text")) - at).cast("int")),
+        lambda at: F.substring(text, (at + 1).cast("int"), (F.coalesce(F.get(F.col("spans"), k)["start"], F.length(text)) - at).cast("int")),
     )
     new = F.array_join(F.transform(F.sequence(F.lit(0), F.size("spans")), part), mark)
-    joined = joined.withColumn("text", F.when(F.col("spans").isNull(), F.col("text")).otherwise(new))
-    return joined.withColumn("n_chars", F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*docs.columns)
+    joined = joined.withColumn("__new", F.when(F.col("spans").isNull(), text).otherwise(new))
+    recount = F.when(F.col("spans").isNull(), F.col("doc.n_chars")).otherwise(F.length("__new").cast("long")) if "n_chars" in docs.columns else None
+    changed = {"text": F.col("__new"), "n_chars": recount}
+    return joined.select(*[(changed[c] if c in changed else F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
 
 
 def _oracle() -> str:
@@ -211,6 +215,6 @@ def op7_secret_scan(spark, sf_dir):
     count = lambda k: F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(k))).cast("long")
     base = F.filter(spans, lambda s: s["kind"] < len(STRONG))
     return rows.select(
-        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        "doc.doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
         F.sha2(_joined(base), 256).alias("base_sha256"), _joined(spans).alias("spans"),
     )

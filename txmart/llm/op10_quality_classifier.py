@@ -88,21 +88,25 @@ def fold(doc_id):
     return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS).cast("int")
 
 
-def statistics(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
-    """``docs`` rows (the ``carry`` columns, by default doc_id) with ``stats`` array<double>."""
-    keep = ["doc_id"] if carry is None else list(carry)
-    picked = docs.select(*keep, F.col("text").alias("__text"))
-    schema = T.StructType(picked.schema.fields[:-1] + [T.StructField("stats", T.ArrayType(T.DoubleType()))])
+def statistics(docs: DataFrame) -> DataFrame:
+    """One row per document: ``doc`` (its row, as a struct, so no column name can clash) and
+    ``stats`` array<double>."""
+    picked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    schema = T.StructType(picked.schema.fields + [T.StructField("stats", T.ArrayType(T.DoubleType()))])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            stats = [text_statistics(t) for t in b.column("__text").to_pylist()]
-            yield record_batch([b.column(i) for i in range(b.num_columns - 1)] + [stats], arrow)
+            yield record_batch([b.column(0), [text_statistics(t) for t in b.column(0).field("text").to_pylist()]], arrow)
 
     return picked.mapInArrow(run, schema)
 
 
+def text_stats(docs: DataFrame) -> DataFrame:
+    """``doc_id, stats`` of every document, written once to the shared folder."""
+    return materialize(statistics(docs.select("doc_id", "text")).select("doc.doc_id", "stats"), "stats")
+
+
 @dataclass(frozen=True)
 class Model:
     """Standardisation, random frequencies, ridge weights and the calibration curve."""
@@ -226,17 +230,17 @@ def score(stats: DataFrame, model: Model) -> DataFrame:
     return stats.mapInArrow(run, schema)
 
 
-def classify(docs: DataFrame, labels: DataFrame, carry: list[str]) -> DataFrame:
-    """``docs`` (the ``carry`` columns) with ``score`` and ``predicted`` (1 from CUTOFF on).
-    The vectors are recomputed next to the carried columns, so texts are never shuffled."""
-    model = train(materialize(statistics(docs), "stats"), labels)
-    return score(statistics(docs, carry), model).withColumn("predicted", (F.col("score") >= CUTOFF).cast("int"))
+def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc`` (the row of ``docs``), ``score`` and ``predicted`` (1 from CUTOFF on). The
+    vectors are recomputed next to the rows, so texts are never shuffled."""
+    model = train(text_stats(docs), labels)
+    return score(statistics(docs), model).withColumn("predicted", (F.col("score") >= CUTOFF).cast("int"))
 
 
 @register("op10_quality_classifier")
 def op10_quality_classifier(spark, sf_dir):
     """Every document of the corpus; learned from the labels outside fold 0."""
-    stats = materialize(statistics(table(spark, sf_dir, "documents")), "stats")
+    stats = text_stats(table(spark, sf_dir, "documents"))
     model = train(stats, table(spark, sf_dir, "labels"))
     return score(stats, model).select(
         "doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= CUTOFF).cast("int").alias("predicted")
