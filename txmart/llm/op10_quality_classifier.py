@@ -177,7 +177,7 @@ def train(stats: DataFrame, labels: DataFrame, features: int = FEATURES, ridge:
     phase = rng.uniform(0, 2 * np.pi, features)
     shape = Model(mean, scale, freq, phase, empty, empty, empty)
     parts = min(512, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    width1, step = features + 1, 32
+    width1, step = features + 1, 8
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, part = np.zeros((width1, width1 + 1)), 0
