@@ -44,15 +44,14 @@ def test_job_twice_and_redelivery_is_idempotent(spark, tmp_root):
 
 def test_incremental_stream_matches_batch_job(spark, tmp_root):
     first, second = q_job.land_deliveries(spark, SF001, f"{tmp_root}/landing")
-    cols = q_job.delivery_rows(spark, SF001).columns
     landing, wh_s = f"{tmp_root}/stream_in", f"{tmp_root}/wh_stream"
     spark.read.option("header", True).csv(first).write.mode("append").option("header", True).csv(landing)
-    incremental.run_available(spark, landing, wh_s, cols, f"{tmp_root}/ckpt", now=NOW1)
-    incremental.run_available(spark, landing, wh_s, cols, f"{tmp_root}/ckpt", now=NOW1)  # nothing new
+    incremental.run_available(spark, landing, wh_s, f"{tmp_root}/ckpt", now=NOW1)
+    incremental.run_available(spark, landing, wh_s, f"{tmp_root}/ckpt", now=NOW1)  # nothing new
     n1 = Warehouse(spark, wh_s).read(job.FACT).count()
     assert n1 > 0
     spark.read.option("header", True).csv(second).write.mode("append").option("header", True).csv(landing)
-    incremental.run_available(spark, landing, wh_s, cols, f"{tmp_root}/ckpt", now=NOW2)
+    incremental.run_available(spark, landing, wh_s, f"{tmp_root}/ckpt", now=NOW2)
     wh_b = f"{tmp_root}/wh_batch"
     job.run(spark, [first], wh_b, now=NOW1, batch_id="B1", fmt="csv")
     job.run(spark, [second], wh_b, now=NOW2, batch_id="B2", fmt="csv")
@@ -82,19 +81,3 @@ def test_unsupported_format(spark, tmp_root):
 
     with pytest.raises(ValueError, match="Unsupported file format"):
         read_source(spark, [f"{tmp_root}/book.xlsx"])
-
-
-def test_row_cap_leaves_the_rest_for_the_next_run(spark, tmp_root):
-    from txmart.settings import Settings
-
-    first, _ = q_job.land_deliveries(spark, SF001, f"{tmp_root}/landing")
-    wh_root = f"{tmp_root}/wh"
-    capped = Settings(max_rows_per_run=300)
-    s1 = job.run(spark, [first], wh_root, capped, now=NOW1, batch_id="C1", fmt="csv")
-    assert s1.rows_transformed + s1.rows_rejected == 300
-    raw = job.read_table(spark, wh_root, job.RAW)
-    assert raw.where("is_processed").count() == 300
-    # the same file again stages nothing but processes the next slice of pending rows
-    s2 = job.run(spark, [first], wh_root, capped, now=NOW2, batch_id="C2", fmt="csv")
-    assert s2.rows_extracted == 0 and s2.rows_transformed + s2.rows_rejected == 300
-    assert job.read_table(spark, wh_root, job.RAW).where("is_processed").count() == 600

@@ -34,7 +34,7 @@ def test_schema_and_referential_integrity(spark):
     child = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     parent = spark.createDataFrame([(1,)], "k int")
     s = metric(q.schema_validation(child, "t", {"k": "int", "missing": "string"}))
-    assert s["quality_status"] == "FAIL" and "Missing column: missing" in s["metric_description"]
+    assert s["quality_status"] == "FAIL" and "missing is absent" in s["metric_description"]
     r = metric(q.referential_integrity("t", [("fk", child, "k", parent, "k")]))
     assert r["quality_status"] == "WARNING" and r["metric_value"] == 2
 

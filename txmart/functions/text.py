@@ -12,23 +12,31 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# --- Fixed values: the characters Python's ``str.strip`` removes ---
+BLANKS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# --- end of fixed values ---
+
+
 def trim_ws(c) -> Column:
-    """Strip leading/trailing whitespace (tabs and newlines too, unlike ``trim``)."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    """Strip leading/trailing whitespace: every Unicode blank Python strips, not only ASCII."""
+    return F.regexp_replace(_col(c), f"^[{BLANKS}]+|[{BLANKS}]+$", "")
 
 
 def title_case(c) -> Column:
-    """Python ``str.title``: each run of letters gets an upper first letter, the rest lower.
+    """Python ``str.title``: each run of cased characters gets an upper first one, the rest
+    lower. ``o'brien`` -> ``O'Brien``, ``3rd`` -> ``3Rd``, ``\u00dfa`` -> ``Ssa``.
 
-    ``o'brien`` -> ``O'Brien``, ``3rd`` -> ``3Rd``, ``new york-city`` -> ``New York-City``.
-    Splits the lower-cased text into alternating letter / non-letter runs and upper-cases
-    the first character of every run (a no-op for non-letter runs).
+    The text is cut into alternating cased / uncased runs. A first character whose upper
+    case is several characters keeps only the first of them in upper case.
     """
-    runs = F.regexp_extract_all(F.lower(_col(c)), F.lit(r"(\p{L}+|\P{L}+)"), 1)
-    return F.array_join(
-        F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.substring(r, 2, 1 << 30))),
-        "",
-    )
+    cased = r"[\p{IsUppercase}\p{IsLowercase}\p{Lt}]"
+    runs = F.regexp_extract_all(_col(c), F.lit(rf"({cased}+|[^\p{{IsUppercase}}\p{{IsLowercase}}\p{{Lt}}]+)"), 1)
+
+    def titled(r):
+        first = F.upper(F.substring(r, 1, 1))
+        return F.concat(F.substring(first, 1, 1), F.lower(F.substring(first, 2, 8)), F.lower(F.substring(r, 2, 1 << 30)))
+
+    return F.array_join(F.transform(runs, titled), "")
 
 
 def null_if_na(c, tokens=NA_TOKENS) -> Column:

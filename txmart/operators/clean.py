@@ -37,42 +37,56 @@ CLEANED_COLUMNS = (
 
 # ------------------------------------------------------------------ C-1 / C-2 dates
 
-def date_format_plan(df: DataFrame, col: str = "transaction_date", formats=None, order_col: str = "id") -> DataFrame:
-    """One row, one column ``_date_mode``: the index of the first format that parses every
-    non-null value of ``col``; if none does, the first format that parses the column's
-    first non-null value (by ``order_col``); else -1 (generic parse)."""
+def date_format_plan(df: DataFrame, cols, formats=None, order_col: str = "id", fallback=None) -> DataFrame:
+    """One row with a column ``_mode{i}`` per date column, decided by one aggregate.
+
+    The mode is the index (in ``formats`` then ``fallback``) of the one format the column
+    is read with: the first of ``formats`` that parses every non-null value; if none does,
+    the first of all that parses the column's first non-null value (by ``order_col``), and
+    the values in another format are lost; -1 when no format parses that first value: then
+    each value takes the first format that parses it."""
     formats = tuple(formats or Settings().date_formats)
-    c = F.col(col)
-    fits = [F.coalesce(F.bool_and(c.isNull() | parse_ts(c, f).isNotNull()), F.lit(True)).alias(f"_fit{i}") for i, f in enumerate(formats)]
-    first = F.min_by(c, F.when(c.isNotNull(), F.col(order_col))).alias("_first")
-    stats = df.agg(*fits, first)
-    mode = reduce(lambda acc, i: acc.when(F.col(f"_fit{i}"), F.lit(i)), range(1, len(formats)), F.when(F.col("_fit0"), F.lit(0)))
-    for i, f in enumerate(formats):
-        mode = mode.when(parse_ts(F.col("_first"), f).isNotNull(), F.lit(i))
-    return stats.select(mode.otherwise(F.lit(-1)).alias("_date_mode"))
-
-
-def _parse_by_mode(c: Column, formats) -> Column:
-    expr = F.when(F.col("_date_mode") == 0, parse_ts(c, formats[0]))
+    every = (*formats, *(Settings().fallback_date_formats if fallback is None else fallback))
+    aggs = []
+    for k, name in enumerate(cols):
+        c = F.col(name)
+        aggs += [F.coalesce(F.bool_and(c.isNull() | parse_ts(c, f).isNotNull()), F.lit(True)).alias(f"_fit{k}_{i}") for i, f in enumerate(formats)]
+        aggs.append(F.min_by(c, F.when(c.isNotNull(), F.col(order_col))).alias(f"_first{k}"))
+    stats = df.agg(*aggs)
+    modes = []
+    for k, _ in enumerate(cols):
+        mode = reduce(lambda acc, i, k=k: acc.when(F.col(f"_fit{k}_{i}"), F.lit(i)), range(1, len(formats)), F.when(F.col(f"_fit{k}_0"), F.lit(0)))
+        for i, f in enumerate(every):
+            mode = mode.when(parse_ts(F.col(f"_first{k}"), f).isNotNull(), F.lit(i))
+        modes.append(mode.otherwise(F.lit(-1)).alias(f"_mode{k}"))
+    return stats.select(*modes)
+
+
+def _parse_by_mode(c: Column, mode: Column, formats) -> Column:
+    expr = F.when(mode == 0, parse_ts(c, formats[0]))
     for i, f in enumerate(formats[1:], start=1):
-        expr = expr.when(F.col("_date_mode") == i, parse_ts(c, f))
-    return expr.otherwise(parse_ts(c))
+        expr = expr.when(mode == i, parse_ts(c, f))
+    return expr.otherwise(F.coalesce(parse_with_formats(c, formats), parse_ts(c)))
 
 
-def parse_dates(df: DataFrame, col: str = "transaction_date", formats=None, mode: str = "column", order_col: str = "id") -> DataFrame:
-    """Replace ``col`` by its ``timestamp_ntz`` parse (null where it does not parse).
+def parse_dates(df: DataFrame, col="transaction_date", formats=None, mode: str = "column", order_col: str = "id", fallback=None) -> DataFrame:
+    """Replace ``col`` (a name or several) by its ``timestamp_ntz`` parse (null where it does
+    not parse).
 
-    ``mode="column"``: one format for the whole column, chosen by :func:`date_format_plan`
-    (one bad value defeats a format, as in the source system).
-    ``mode="row"``: each value takes the first format that parses it (robust default for users).
+    ``mode="column"``: one format per column, chosen by :func:`date_format_plan` (one bad
+    value defeats a format, as in the source system). ``mode="row"``: each value takes the
+    first format that parses it (robust choice for users).
     """
+    cols = [col] if isinstance(col, str) else list(col)
     formats = tuple(formats or Settings().date_formats)
+    every = (*formats, *(Settings().fallback_date_formats if fallback is None else fallback))
     if mode == "row":
-        return df.withColumn(col, parse_with_formats(F.col(col), formats))
+        return df.withColumns({c: F.coalesce(parse_with_formats(F.col(c), every), parse_ts(F.col(c))) for c in cols})
     if mode != "column":
         raise ValueError(f"unknown date mode {mode!r}")
-    plan = date_format_plan(df, col, formats, order_col)
-    return df.crossJoin(F.broadcast(plan)).withColumn(col, _parse_by_mode(F.col(col), formats)).drop("_date_mode")
+    plan = date_format_plan(df, cols, formats, order_col, fallback)
+    parsed = {c: _parse_by_mode(F.col(c), F.col(f"_mode{k}"), every) for k, c in enumerate(cols)}
+    return df.crossJoin(F.broadcast(plan)).withColumns(parsed).drop(*[f"_mode{k}" for k in range(len(cols))])
 
 
 def clean_dates(df: DataFrame, col: str = "transaction_date", formats=None, mode: str = "column", order_col: str = "id") -> DataFrame:
@@ -135,11 +149,11 @@ def clean_age(df: DataFrame, col: str = "customer_age") -> DataFrame:
 
 # ------------------------------------------------------------------ composition, C-10 accounting
 
-def standardise(raw: DataFrame, settings: Settings | None = None, date_mode: str = "column") -> DataFrame:
+def standardise(raw: DataFrame, settings: Settings | None = None, date_mode: str | None = None) -> DataFrame:
     """Every staged row with typed columns and ``reject_reason`` (null if the row survives
     the row-level steps; duplicates are decided afterwards by :func:`clean_transactions`)."""
     s = settings or Settings()
-    out = parse_dates(raw, "transaction_date", s.date_formats, date_mode, "id")
+    out = parse_dates(raw, "transaction_date", s.date_formats, date_mode or s.date_mode, "id", s.fallback_date_formats)
     amount = amount_value(F.col("transaction_amount"))
     out = out.withColumn("transaction_amount", amount)
     out = out.withColumns({c: title_case(trim_ws(F.col(c))) for c in TITLE_COLUMNS})
@@ -153,7 +167,7 @@ def standardise(raw: DataFrame, settings: Settings | None = None, date_mode: str
     return out.withColumn("reject_reason", reason).withColumn("transaction_amount", F.col("transaction_amount").cast(MONEY))
 
 
-def clean_transactions(raw: DataFrame, settings: Settings | None = None, date_mode: str = "column") -> DataFrame:
+def clean_transactions(raw: DataFrame, settings: Settings | None = None, date_mode: str | None = None) -> DataFrame:
     """C-1..C-9 over a staged batch (``id`` + canonical columns) -> cleaned rows.
 
     Equivalent to dates -> amounts -> text -> critical nulls -> defaults -> keep-first by
@@ -173,7 +187,7 @@ def survivors_to_cleaned(tagged: DataFrame, settings: Settings | None = None) ->
     return kept.withColumnRenamed("id", "source_row_id").select(*CLEANED_COLUMNS)
 
 
-def reject_counts(raw: DataFrame, settings: Settings | None = None, date_mode: str = "column") -> DataFrame:
+def reject_counts(raw: DataFrame, settings: Settings | None = None, date_mode: str | None = None) -> DataFrame:
     """C-10: one row — rows read, kept, rejected, and rejected per reason.
 
     Duplicates are counted from a group-by on the dedupe key (partial aggregation, so a
@@ -186,15 +200,19 @@ def reject_counts(raw: DataFrame, settings: Settings | None = None, date_mode: s
 def counts_of_tagged(tagged: DataFrame, settings: Settings | None = None) -> DataFrame:
     """C-10 over a :func:`standardise` result."""
     s = settings or Settings()
-    tagged = tagged.select(*s.dedupe_keys, "reject_reason")
     reason = F.col("reject_reason")
-    per_reason = tagged.agg(
-        F.count("*").alias("rows_read"),
-        *[F.count_if(reason == r).alias(f"rejected_{r}") for r in REJECT_REASONS[:-1]],
+    # rows per reason and (for survivors) per dedupe key, then one small aggregate: the
+    # batch is read once, and a hot key is one partial row per map task
+    keys = [F.when(reason.isNull(), F.col(k)).alias(k) for k in s.dedupe_keys]
+    groups = tagged.select("reject_reason", *keys).groupBy("reject_reason", *s.dedupe_keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    out = groups.agg(
+        total("_n").alias("rows_read"),
+        *[total(F.when(reason == r, F.col("_n"))).alias(f"rejected_{r}") for r in REJECT_REASONS[:-1]],
+        F.count_if(reason.isNull()).alias("rows_kept"),
+        total(F.when(reason.isNull(), F.col("_n") - 1)).alias("rejected_duplicate"),
     )
-    groups = tagged.where(reason.isNull()).groupBy(*s.dedupe_keys).agg(F.count("*").alias("_n"))
-    dup = groups.agg(F.count("*").alias("rows_kept"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("rejected_duplicate"))
-    return per_reason.crossJoin(dup).withColumn("rows_rejected", F.col("rows_read") - F.col("rows_kept"))
+    return out.withColumn("rows_rejected", F.col("rows_read") - F.col("rows_kept"))
 
 
 def missing_profile(df: DataFrame) -> DataFrame:

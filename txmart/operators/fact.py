@@ -12,13 +12,6 @@ from txmart.schemas import FACT, MONEY
 from txmart.settings import FACT_QUALITY_SCORE, UNKNOWN_KEY
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows (checked with a bounded
-    ``limit(max_rows + 1).count()``); otherwise leave the join strategy to Spark/AQE."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def not_loaded(cleaned: DataFrame) -> DataFrame:
     if "is_loaded" in cleaned.columns:
         return cleaned.where(~F.coalesce(F.col("is_loaded"), F.lit(False)))
@@ -31,17 +24,15 @@ def resolve_keys(
     products: DataFrame,
     time: DataFrame,
     branches: DataFrame,
-    broadcast_max_rows: int | None = 2_000_000,
 ) -> DataFrame:
     """J-1/J-2: left joins to the four dimensions on natural keys; unknown customer,
     product and date become key 1, an unknown branch stays null.
 
-    Only (natural key, surrogate key) pairs are joined. A dimension is broadcast when a
-    bounded count proves it small; beyond that the join shuffles (sort-merge, AQE).
+    Only (natural key, surrogate key) pairs are joined. No hint: Spark broadcasts a side
+    that its byte threshold (measured at run time by AQE) proves small, else it shuffles.
     """
     def side(dim: DataFrame, nat: str, key: str, alias: str) -> DataFrame:
-        pairs = dim.select(F.col(nat).alias(alias), F.col(key))
-        return broadcast_if_small(pairs, broadcast_max_rows) if broadcast_max_rows else pairs
+        return dim.select(F.col(nat).alias(alias), F.col(key))
 
     s = cleaned.withColumn("_date", F.to_date("transaction_date"))
     s = s.join(side(customers, "customer_id", "customer_key", "_c"), s["customer_id"] == F.col("_c"), "left")
@@ -84,20 +75,6 @@ def fact_rows(resolved: DataFrame, batch_id, now=None) -> DataFrame:
     )
 
 
-def already_loaded(rows: DataFrame, existing: DataFrame, broadcast_max_rows: int | None) -> DataFrame:
-    """The batch's transaction ids that the fact already holds.
-
-    When the batch's ids are provably few, the fact's ``transaction_id`` column is
-    semi-joined against them by broadcast: the fact is scanned once (one column, no
-    shuffle) and only the conflicting ids come out. Otherwise both sides shuffle on the id.
-    """
-    batch_ids = rows.select("transaction_id")
-    fact_ids = existing.select("transaction_id")
-    if broadcast_max_rows and batch_ids.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows:
-        return fact_ids.join(F.broadcast(batch_ids), "transaction_id", "left_semi")
-    return fact_ids.join(batch_ids, "transaction_id", "left_semi")
-
-
 def new_facts(
     cleaned: DataFrame,
     customers: DataFrame,
@@ -107,7 +84,6 @@ def new_facts(
     existing: DataFrame,
     batch_id,
     now=None,
-    broadcast_max_rows: int | None = 2_000_000,
 ) -> DataFrame:
     """D-9: the fact rows one load appends.
 
@@ -116,9 +92,9 @@ def new_facts(
     -> rows whose ``transaction_id`` is already in the fact are dropped (``ON CONFLICT DO
     NOTHING``) -> ``transaction_key`` continues from the fact's maximum.
     """
-    resolved = resolve_keys(not_loaded(cleaned), customers, products, time, branches, broadcast_max_rows)
+    resolved = resolve_keys(not_loaded(cleaned), customers, products, time, branches)
     rows = keep_first(fact_rows(resolved, batch_id, now), ["transaction_id"], "source_row_id")
-    rows = rows.join(already_loaded(rows, existing, broadcast_max_rows), "transaction_id", "left_anti").drop("source_row_id")
+    rows = rows.join(existing.select("transaction_id"), "transaction_id", "left_anti").drop("source_row_id")
     keyed = assign_keys(rows, "transaction_key", ["transaction_id"], base=next_key_base(existing, "transaction_key"))
     return keyed.select(*[F.col(f.name).cast(f.dataType) for f in FACT.fields])
 
@@ -136,22 +112,12 @@ def mark_loaded(cleaned: DataFrame, fact: DataFrame, now=None) -> DataFrame:
     ).select(*cleaned.columns)
 
 
-def take_unprocessed(raw: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """S-7: the unprocessed staging rows by ``id`` (all of them by default).
-
-    Returns ``(batch, cutoff)`` where ``cutoff`` is one row ``_cut`` = the greatest id
-    taken, so S-9 can flag exactly this batch with a projection instead of a join. With
-    ``max_rows`` the batch is the first ``max_rows`` unprocessed ids: the cutoff is found
-    from the ids alone (a top-k over one column), not by sorting whole rows into one task.
-    """
+def take_unprocessed(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """S-7: all unprocessed staging rows. Returns ``(batch, cutoff)``; ``cutoff`` is one row
+    ``_cut``, the greatest id taken, so S-9 can flag exactly this batch with a projection
+    instead of a join."""
     pending = raw.where(~F.coalesce(F.col("is_processed"), F.lit(False)))
-    if max_rows is None:
-        cutoff = pending.agg(F.max("id").alias("_cut"))
-        return pending, cutoff
-    ids = pending.select("id").orderBy("id").limit(max_rows)
-    cutoff = ids.agg(F.max("id").alias("_cut"))
-    batch = pending.crossJoin(F.broadcast(cutoff)).where(F.col("id") <= F.col("_cut")).drop("_cut")
-    return batch, cutoff
+    return pending, pending.agg(F.max("id").alias("_cut"))
 
 
 def mark_processed(raw: DataFrame, cutoff: DataFrame, now=None) -> DataFrame:

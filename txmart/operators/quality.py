@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 
 from txmart.settings import STATUS_SEVERITY, Settings
 
+# --- Fixed values: description of a skipped duplicate check ---
+KEYS_MISSING = '{"reason":"Key columns not found"}'
+# --- end of fixed values ---
+
 METRIC_COLUMNS = (
     "table_name", "metric_name", "metric_value", "metric_percentage", "record_count", "quality_status", "metric_description",
 )
@@ -31,43 +35,50 @@ def _metric(df: DataFrame, table: str, name: str, value: Column, pct: Column | N
     )
 
 
-def sample_newest(df: DataFrame, n: int, order_col: str = "created_at") -> DataFrame:
-    """S-12: the newest ``n`` rows by ``order_col`` (a top-k; the default suite checks all rows)."""
-    return df.orderBy(F.col(order_col).desc()).limit(n)
-
+def sample_newest(df: DataFrame, n: int, order_col: str = "created_at", tie_break: str | None = None) -> DataFrame:
+    """S-12: the newest ``n`` rows by ``order_col``, ties by the greatest ``tie_break`` (a
+    top-k; the default suite checks all rows)."""
+    order = [F.col(order_col).desc()] + ([F.col(tie_break).desc()] if tie_break else [])
+    return df.orderBy(*order).limit(n)
 
-def _null_counts(df: DataFrame) -> DataFrame:
-    return df.agg(F.count("*").alias("_rows"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_n{i}") for i, c in enumerate(df.columns)])
 
+def profile(df: DataFrame, table: str, settings: Settings | None = None, checks=("COMPLETENESS_PCT", "NULL_PERCENTAGE")) -> DataFrame:
+    """Q-1 and Q-2 from one aggregate (row count and nulls per column), one row per check.
 
-def completeness(df: DataFrame, table: str, settings: Settings | None = None) -> DataFrame:
-    """Q-1: (cells - null cells) / cells * 100, 0 when there are no cells; PASS when
-    ``>= min_completeness_pct`` else FAIL."""
+    Q-1: (cells - null cells) / cells * 100, 0 when there are no cells; PASS when
+    ``>= min_completeness_pct`` else FAIL. Q-2: mean over columns of the column's null %;
+    an empty table counts 100 % per column; PASS when ``<= max_null_pct`` else FAIL; the
+    description carries the per-column percentages."""
     s = settings or Settings()
     k = len(df.columns)
-    agg = _null_counts(df)
-    cells = F.col("_rows") * F.lit(k)
+    counts = df.agg(F.count("*").alias("_rows"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_n{i}") for i, c in enumerate(df.columns)])
+    rows = F.col("_rows")
+    cells = rows * F.lit(k)
     nulls = sum((F.col(f"_n{i}") for i in range(k)), F.lit(0))
-    pct = F.when(cells > 0, (cells - nulls).cast("double") / cells * 100.0).otherwise(F.lit(0.0))
-    value = F.round(pct, 2)
-    status = F.when(pct >= s.min_completeness_pct, "PASS").otherwise("FAIL")
-    desc = F.to_json(F.struct(value.alias("value"), F.lit(s.min_completeness_pct).alias("threshold"), F.col("_rows").alias("record_count")))
-    return _metric(agg, table, "COMPLETENESS_PCT", value, None, F.col("_rows"), status, desc)
+    full = F.when(cells > 0, (cells - nulls).cast("double") / cells * 100.0).otherwise(F.lit(0.0))
+    per_col = [F.when(rows > 0, F.col(f"_n{i}").cast("double") / rows * 100.0).otherwise(F.lit(100.0)) for i in range(k)]
+    mean = (sum(per_col, F.lit(0.0)) / F.lit(k)) if k else F.lit(0.0)
+    text = F.to_json(F.struct(F.round(full, 2).alias("value"), F.lit(s.min_completeness_pct).alias("threshold"), rows.alias("record_count")))
+    details = F.to_json(F.map_from_arrays(F.array(*[F.lit(c) for c in df.columns]), F.array(*per_col))) if k else F.lit("{}")
+    found = {
+        "COMPLETENESS_PCT": (F.round(full, 2), F.when(full >= s.min_completeness_pct, "PASS").otherwise("FAIL"), text),
+        "NULL_PERCENTAGE": (F.round(mean, 2), F.when(mean <= s.max_null_pct, "PASS").otherwise("FAIL"), details),
+    }
+    each = F.array(*[F.struct(F.lit(n).alias("m"), found[n][0].cast("double").alias("v"), found[n][1].alias("s"), found[n][2].alias("d")) for n in checks])
+    return counts.select("_rows", F.explode(each).alias("_x")).select(
+        F.lit(table).alias("table_name"), F.col("_x.m").alias("metric_name"), F.col("_x.v").alias("metric_value"), F.col("_x.v").alias("metric_percentage"),
+        F.col("_rows").cast("long").alias("record_count"), F.col("_x.s").alias("quality_status"), F.col("_x.d").alias("metric_description"),
+    )
+
+
+def completeness(df: DataFrame, table: str, settings: Settings | None = None) -> DataFrame:
+    """Q-1 alone (see :func:`profile`)."""
+    return profile(df, table, settings, ("COMPLETENESS_PCT",))
 
 
 def null_percentages(df: DataFrame, table: str, settings: Settings | None = None) -> DataFrame:
-    """Q-2: mean over columns of the column's null %; an empty table counts 100 % per
-    column; PASS when ``<= max_null_pct`` else FAIL. The description carries the
-    per-column percentages."""
-    s = settings or Settings()
-    k = len(df.columns)
-    agg = _null_counts(df)
-    rows = F.col("_rows")
-    per_col = [F.when(rows > 0, F.col(f"_n{i}").cast("double") / rows * 100.0).otherwise(F.lit(100.0)) for i in range(k)]
-    avg = (sum(per_col, F.lit(0.0)) / F.lit(k)) if k else F.lit(0.0)
-    status = F.when(avg <= s.max_null_pct, "PASS").otherwise("FAIL")
-    details = F.to_json(F.map_from_arrays(F.array(*[F.lit(c) for c in df.columns]), F.array(*per_col))) if k else F.lit("{}")
-    return _metric(agg, table, "NULL_PERCENTAGE", F.round(avg, 2), None, rows, status, details)
+    """Q-2 alone (see :func:`profile`)."""
+    return profile(df, table, settings, ("NULL_PERCENTAGE",))
 
 
 def duplicates(df: DataFrame, table: str, keys) -> DataFrame:
@@ -81,7 +92,7 @@ def duplicates(df: DataFrame, table: str, keys) -> DataFrame:
     if not all(k in df.columns for k in keys):
         one = spark.range(1)
         return _metric(one, table, "DUPLICATES", F.lit(None), F.lit(None), F.lit(None), F.lit("SKIPPED"),
-                       F.lit('{"reason":"Key columns not found"}'))
+                       F.lit(KEYS_MISSING))
     groups = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     agg = groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"), F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("_dups"))
     pct = F.when(F.col("_rows") > 0, F.round(F.col("_dups").cast("double") / F.col("_rows") * 100.0, 2)).otherwise(F.lit(0.0))
@@ -91,16 +102,12 @@ def duplicates(df: DataFrame, table: str, keys) -> DataFrame:
 
 
 def schema_errors(df: DataFrame, expected: dict) -> list[str]:
-    """Missing columns and type mismatches: the expected type name must be a substring of
-    the column's Spark type name (e.g. ``decimal`` matches ``decimal(18,2)``)."""
-    actual = dict(df.dtypes)
-    errors = []
-    for col, want in expected.items():
-        if col not in actual:
-            errors.append(f"Missing column: {col}")
-        elif want not in actual[col]:
-            errors.append(f"Column {col}: expected {want}, got {actual[col]}")
-    return errors
+    """Where the frame's types depart from ``expected`` (column -> part of a Spark type name,
+    e.g. ``decimal`` for ``decimal(18,2)``), by column name."""
+    have = dict(df.dtypes)
+    absent = [f"{c} is absent" for c in sorted(expected.keys() - have.keys())]
+    wrong = {c: t for c, t in have.items() if c in expected and expected[c] not in t}
+    return absent + [f"{c} has type {t} instead of {expected[c]}" for c, t in sorted(wrong.items())]
 
 
 def schema_validation(df: DataFrame, table: str, expected: dict) -> DataFrame:
@@ -113,17 +120,31 @@ def schema_validation(df: DataFrame, table: str, expected: dict) -> DataFrame:
 
 
 def orphan_counts(checks) -> DataFrame:
-    """J-6: per check ``(name, child, child_key, parent, parent_key)``, the child rows
-    whose key has no parent (``left_anti``, so a null child key counts as an orphan, as
-    in ``LEFT JOIN ... WHERE parent.key IS NULL``)."""
-    parts = []
-    for name, child, ckey, parent, pkey in checks:
-        p = parent.select(F.col(pkey).alias("_pk")).distinct()
-        orphans = child.select(F.col(ckey).alias("_ck")).join(p, F.col("_ck") == F.col("_pk"), "left_anti")
-        parts.append(orphans.agg(F.count("*").alias("orphaned_records")).select(F.lit(name).alias("name"), "orphaned_records"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    """J-6: per check ``(name, child, child_key, parent, parent_key)``, the child rows whose
+    key has no parent (a null child key counts as an orphan, as in ``LEFT JOIN ... WHERE
+    parent.key IS NULL``).
+
+    Checks of one child frame share one scan: the child's keys are counted per combination
+    first (combined map-side), then left-joined to each parent's distinct keys."""
+    out = None
+    children: list[tuple[DataFrame, list]] = []
+    for c in checks:
+        for df, mine in children:
+            if df is c[1]:
+                mine.append(c)
+                break
+        else:
+            children.append((c[1], [c]))
+    for df, mine in children:
+        keys = list(dict.fromkeys(c[2] for c in mine))
+        rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        for i, (_, _, key, parent, pkey) in enumerate(mine):
+            known = parent.select(F.col(pkey).alias(f"_pk{i}")).distinct()
+            rows = rows.join(known, F.col(key) == F.col(f"_pk{i}"), "left")
+        lost = rows.agg(*[F.coalesce(F.sum(F.when(F.col(f"_pk{i}").isNull(), F.col("_n"))), F.lit(0)).alias(f"_o{i}") for i in range(len(mine))])
+        pairs = F.explode(F.array(*[F.struct(F.lit(c[0]).alias("name"), F.col(f"_o{i}").alias("orphaned_records")) for i, c in enumerate(mine)]))
+        part = lost.select(pairs.alias("_p")).select("_p.name", "_p.orphaned_records")
+        out = part if out is None else out.unionByName(part)
     return out
 
 
@@ -161,7 +182,7 @@ def overall_status(metrics: DataFrame) -> DataFrame:
 def raw_suite(raw: DataFrame, settings: Settings | None = None) -> DataFrame:
     """Q-7 with a frame: completeness, null % and duplicates of the staged batch."""
     s = settings or Settings()
-    out = completeness(raw, "raw_banking_data", s).unionByName(null_percentages(raw, "raw_banking_data", s))
+    out = profile(raw, "raw_banking_data", s)
     if s.duplicate_check_enabled:
         out = out.unionByName(duplicates(raw, "raw_banking_data", s.dedupe_keys))
     return out
@@ -175,69 +196,79 @@ EXPECTED_FACT_TYPES = {
 }
 
 
-def mart_suite(
+def mart_checks(
     fact: DataFrame,
     cleaned: DataFrame,
     dims: dict | None = None,
     settings: Settings | None = None,
     sample_rows: int | None = None,
-) -> DataFrame:
-    """Q-7 without a frame: Q-1..Q-3 on the fact (key ``transaction_id``) and the cleaned
-    table (the dedupe key); plus Q-4 on the fact and Q-5 fact -> dimensions when
-    ``dims`` is given (the source suite documents but never calls those two)."""
+) -> list:
+    """Q-7 without a frame, as ``(table, check, build)``: Q-1..Q-3 on the fact (key
+    ``transaction_id``) and the cleaned table (the dedupe key); plus Q-4 on the fact and Q-5
+    fact -> dimensions when ``dims`` is given (the source suite documents but never calls
+    those two). ``build`` returns the metric rows."""
     s = settings or Settings()
-    f = fact.select(*FACT_CHECK_COLUMNS)
-    c = cleaned.select(*CLEANED_CHECK_COLUMNS)
+    f, c = fact, cleaned
     if sample_rows:
-        f = sample_newest(fact, sample_rows).select(*FACT_CHECK_COLUMNS)
-        c = sample_newest(cleaned, sample_rows).select(*CLEANED_CHECK_COLUMNS)
-    parts = [completeness(f, "fact_transactions", s), null_percentages(f, "fact_transactions", s)]
-    if s.duplicate_check_enabled:
-        parts.append(duplicates(f, "fact_transactions", ["transaction_id"]))
-    parts += [completeness(c, "cleaned_banking_data", s), null_percentages(c, "cleaned_banking_data", s)]
+        f, c = sample_newest(fact, sample_rows, tie_break="transaction_key"), sample_newest(cleaned, sample_rows, tie_break="source_row_id")
+    f, c = f.select(*FACT_CHECK_COLUMNS), c.select(*CLEANED_CHECK_COLUMNS)
+    checks = [("fact_transactions", "PROFILE", lambda: profile(f, "fact_transactions", s)), ("cleaned_banking_data", "PROFILE", lambda: profile(c, "cleaned_banking_data", s))]
     if s.duplicate_check_enabled:
-        parts.append(duplicates(c, "cleaned_banking_data", s.dedupe_keys))
+        checks.append(("fact_transactions", "DUPLICATES", lambda: duplicates(f, "fact_transactions", ["transaction_id"])))
+        checks.append(("cleaned_banking_data", "DUPLICATES", lambda: duplicates(c, "cleaned_banking_data", s.dedupe_keys)))
     if dims is not None:
-        parts.append(schema_validation(fact, "fact_transactions", EXPECTED_FACT_TYPES))
-        parts.append(
-            referential_integrity(
-                "fact_transactions",
-                [
-                    ("fact_customer_fk", fact, "customer_key", dims["customers"], "customer_key"),
-                    ("fact_product_fk", fact, "product_key", dims["products"], "product_key"),
-                    ("fact_time_fk", fact, "time_key", dims["time"], "time_key"),
-                    ("fact_branch_fk", fact.where(F.col("branch_key").isNotNull()), "branch_key", dims["branches"], "branch_key"),
-                ],
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        checks.append(("fact_transactions", "SCHEMA_VALIDATION", lambda: schema_validation(fact, "fact_transactions", EXPECTED_FACT_TYPES)))
+        keys = fact.select("customer_key", "product_key", "time_key", F.coalesce("branch_key", F.lit(-1)).alias("branch_key"))
+        no_branch = dims["branches"].select("branch_key").unionByName(fact.sparkSession.range(1).select(F.lit(-1).cast("int").alias("branch_key")))
+        foreign = [
+            ("fact_customer_fk", keys, "customer_key", dims["customers"], "customer_key"),
+            ("fact_product_fk", keys, "product_key", dims["products"], "product_key"),
+            ("fact_time_fk", keys, "time_key", dims["time"], "time_key"),
+            ("fact_branch_fk", keys, "branch_key", no_branch, "branch_key"),  # an unknown branch is allowed
+        ]
+        checks.append(("fact_transactions", "REFERENTIAL_INTEGRITY", lambda: referential_integrity("fact_transactions", foreign)))
+    return checks
+
+
+def mart_suite(fact: DataFrame, cleaned: DataFrame, dims: dict | None = None, settings: Settings | None = None, sample_rows: int | None = None) -> DataFrame:
+    """The rows of :func:`mart_checks` as one lazy frame."""
+    out = None
+    for _, _, build in mart_checks(fact, cleaned, dims, settings, sample_rows):
+        out = build() if out is None else out.unionByName(build())
     return out
 
 
-def smoke_counts(tables: dict) -> DataFrame:
-    """Q-8: row count of each table as a metric row (always PASS)."""
-    parts = []
-    for table, (metric, df) in tables.items():
-        n = F.col("_rows")
-        parts.append(
-            _metric(df.agg(F.count("*").alias("_rows")), table, metric, n, F.lit(None), n,
-                    F.when(n >= 0, "PASS").otherwise("FAIL"), F.lit(f"Smoke count for {table}"))
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def run_checks(spark: SparkSession, checks) -> DataFrame:
+    """Run each check by itself and return all metric rows; one that fails becomes a row with
+    status ERROR and the suite goes on. A check yields a few rows, which pass through here."""
+    rows = []
+    for table, name, build in checks:
+        try:
+            rows += [tuple(r) for r in build().select(*METRIC_COLUMNS).collect()]
+        except Exception as e:  # noqa: BLE001 - the failure is what the row reports
+            rows.append((table, name, None, None, None, "ERROR", f"{type(e).__name__}: {str(e)[:500]}"))
+    return spark.createDataFrame(rows, METRICS_DDL)
 
 
-def passed(metrics: DataFrame) -> bool:
-    """Q-7 verdict: True only if the folded status is exactly PASS (a tiny action)."""
-    return bool(overall_status(metrics).first()["passed"])
+METRICS_DDL = (
+    "table_name string, metric_name string, metric_value double, metric_percentage double, "
+    "record_count bigint, quality_status string, metric_description string"
+)
 
 
-def empty_metrics(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [], "table_name string, metric_name string, metric_value double, metric_percentage double, "
-        "record_count bigint, quality_status string, metric_description string"
-    )
+def smoke_checks(tables: dict) -> list:
+    """Q-8 as checks: the row count of each whole table as a metric row (always PASS)."""
+    def count(table, metric, df):
+        n = F.col("_rows")
+        status = F.when(n >= 0, "PASS").otherwise("FAIL")
+        return _metric(df.agg(F.count("*").alias("_rows")), table, metric, n, F.lit(None), n, status, F.concat(F.lit(table), F.lit(" has "), n.cast("string"), F.lit(" rows")))
+
+    return [(table, metric, lambda t=table, m=metric, d=df: count(t, m, d)) for table, (metric, df) in tables.items()]
+
+
+def smoke_counts(tables: dict) -> DataFrame:
+    """Q-8 as one lazy frame."""
+    out = None
+    for _, _, build in smoke_checks(tables):
+        out = build() if out is None else out.unionByName(build())
+    return out

@@ -1,10 +1,11 @@
 """The nightly job (R-1): extract -> stage -> clean -> dimensions -> fact -> checks -> audit.
 
-``run`` is the batch form over delivered files; ``run_batch`` is its core over an
-already-read DataFrame, which the streaming form (``streaming.incremental``) calls once
-per micro-batch. Every step reads the warehouse's current tables and writes the next
-version; the steps are idempotent (insert-if-absent on source row ids and transaction
-ids), so a retried run adds nothing twice.
+Two commits make a run. ``stage_files`` appends the rows of new files together with the
+ledger of delivered files; ``transform`` takes every staged row no run has taken yet and
+commits cleaned rows, dimensions, facts, run mark, metrics and run log at once. A run that
+fails anywhere leaves nothing of the step it failed in, so running it again gives what one
+clean run gives; the failure itself is logged as a FAILED run. The streaming form
+(``streaming.incremental``) finds new files and calls the same ``run``.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from txmart.plans.mart import cleaned_layer
 from txmart.session import ensure_checkpoint_dir
 from txmart.settings import Settings
 from txmart.sources import files
-from txmart.sources.staging import delivered_file_rows, persist_cleaned, skip_staged_files, stage_rows
+from txmart.sources.staging import delivered_file_rows, new_files, persist_cleaned, stage_rows
 from txmart.sources.warehouse import Warehouse
 
 RAW, CLEANED = "staging.raw_banking_data", "staging.cleaned_banking_data"
@@ -57,39 +58,65 @@ def concurrently(*steps):
 
 
 def initialize(spark: SparkSession, wh: Warehouse) -> None:
-    """S-13: all tables, with the unknown members seeded."""
-    seeds = {CUST: dims.seed_customers(spark), PROD: dims.seed_products(spark), TIME: dims.seed_time(spark)}
-    concurrently(*[(lambda t=t, df=df: wh.initialize({t: df})) for t, df in seeds.items()])
+    """S-13: all tables, with the unknown members seeded, in one commit."""
+    wh.initialize({CUST: dims.seed_customers(spark), PROD: dims.seed_products(spark), TIME: dims.seed_time(spark)})
 
 
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-def extract(spark: SparkSession, paths, fmt: str | None = None) -> DataFrame:
-    """S-1..S-4: rows of the delivered files with file name and file MD5."""
-    rows = files.with_provenance(files.read_source(spark, paths, fmt))
-    # one row per file; checkpointed so each file's bytes are hashed once
-    hashes = files.file_hashes(spark, paths).checkpoint(eager=True)
+def extract(spark: SparkSession, hashes: list, settings: Settings, fmt: str | None = None) -> DataFrame:
+    """S-1..S-4: rows of the files in ``hashes`` (path, hash) with file name and hash."""
+    rows = files.read_source(spark, [p for p, _ in hashes], fmt, settings.csv_multi_line)
     return files.stamp_hashes(rows, hashes)
 
 
+def stage_files(spark: SparkSession, paths, wh: Warehouse, settings: Settings, now: dt.datetime, batch_id: str,
+                skip_redelivered: bool = True, fmt: str | None = None) -> int:
+    """S-6, I-2: stage the rows of the delivered files that are not staged yet. Rows and file
+    ledger are one commit. Returns the number of rows staged; only the list of delivered
+    files (what any scan has to plan from) passes through the driver."""
+    fmt = files.source_format(paths, fmt)
+    listed = files.file_hashes(spark, paths).checkpoint(eager=True)  # each file hashed once
+    fresh = new_files(listed, wh.read(FILES)) if skip_redelivered else listed
+    every = [tuple(r) for r in listed.select("path", "source_file_hash").orderBy("path").collect()]
+    taken = [tuple(r) for r in fresh.select("path", "source_file_hash").orderBy("path").collect()]
+    if not taken:
+        if every:
+            wh.append(FILES, delivered_file_rows(every, spark.createDataFrame([], "_source_file_path string"), batch_id, now))
+        return 0
+    delivered = files.require_rows(extract(spark, taken, settings, fmt))
+    rows = stage_rows(delivered, wh.read(RAW), now)  # checkpointed inside the key assignment
+    wh.commit(wh.write(RAW, rows), wh.write(FILES, delivered_file_rows(every, rows, batch_id, now)))
+    return rows.count()
+
+
 def run(spark: SparkSession, paths, warehouse_root: str, settings: Settings | None = None, now: dt.datetime | None = None,
         batch_id: str | None = None, skip_redelivered: bool = True, fmt: str | None = None) -> RunSummary:
     """R-1 over delivered files (a folder of part files needs ``fmt``). An empty delivery
-    raises ``EmptyInput`` (S-3) before anything is written."""
-    delivered = files.require_rows(extract(spark, paths, fmt))
-    return run_batch(spark, delivered, warehouse_root, settings, now, batch_id, skip_redelivered)
-
-
-def run_batch(spark: SparkSession, delivered: DataFrame, warehouse_root: str, settings: Settings | None = None,
-              now: dt.datetime | None = None, batch_id: str | None = None, skip_redelivered: bool = True) -> RunSummary:
+    raises ``EmptyInput`` (S-3) before anything is staged."""
     s = settings or Settings()
     ensure_checkpoint_dir(spark)
     start = _now()
     now = now or start
     batch_id = batch_id or audit.batch_id_now(now)
     wh = Warehouse(spark, warehouse_root)
+    try:
+        initialize(spark, wh)
+        extracted = stage_files(spark, paths, wh, s, now, batch_id, skip_redelivered, fmt) if paths else 0
+        return transform(spark, wh, s, now, batch_id, start, extracted)
+    except files.EmptyInput:
+        raise
+    except Exception as e:
+        failed = Warehouse(spark, warehouse_root)  # what is committed, nothing of this run's parts
+        failed.append(RUNLOG, audit.run_log_row(spark, failed.read(RUNLOG), batch_id, s.pipeline_name, s.task_name, start, _now(),
+                                                False, 0, 0, 0, 0, error=f"{type(e).__name__}: {str(e)[:1000]}"))
+        raise
+
+
+def transform(spark: SparkSession, wh: Warehouse, s: Settings, now: dt.datetime, batch_id: str, start: dt.datetime, extracted: int) -> RunSummary:
+    """Everything after staging, over all staged rows not taken yet, as one commit."""
     phases: dict[str, float] = {}
     clock = [_now()]
 
@@ -98,76 +125,57 @@ def run_batch(spark: SparkSession, delivered: DataFrame, warehouse_root: str, se
         phases[name] = round((t - clock[0]).total_seconds(), 3)
         clock[0] = t
 
-    initialize(spark, wh)
-    lap("initialize")
-
-    # extract + stage (S-6, I-2): the raw table is append-only
-    staged = wh.read(RAW)
-    if skip_redelivered:
-        delivered = skip_staged_files(delivered, wh.read(FILES))
-    new_raw = stage_rows(delivered, staged, now)  # checkpointed inside the key assignment
-    extracted = new_raw.count()
-    wh.append(RAW, new_raw)
-    wh.append(FILES, delivered_file_rows(new_raw, batch_id, now))
-    lap("stage")
-
-    # transform (S-7, C-*, S-8). Processed = id <= the processed watermark, so the
-    # pending rows are a pushed-down range of the newest files.
-    marks = wh.read(MARKS)
-    done = watermark(marks, "processed_through")
-    pending = wh.read(RAW).where(F.col("id") > done)
-    batch, cutoff_df = take_unprocessed(pending, s.max_rows_per_run)
+    # S-7: pending = id above the processed watermark, a pushed-down range of the newest files
+    changes = []
+    done = watermark(wh.read(MARKS), "processed_through")
+    batch, cutoff_df = take_unprocessed(wh.read(RAW).where(F.col("id") > done))
     cutoff = cutoff_df.first()["_cut"]
-    # one parse of the batch: every row with its reject reason (the quarantine view),
-    # from which both the cleaned rows and the row accounting are derived
-    tagged = standardise(batch, s).checkpoint(eager=True)
-    cleaned_batch = cleaned_layer(survivors_to_cleaned(tagged, s), now)
-    counts = counts_of_tagged(tagged, s).first()
-    wh.append(CLEANED, persist_cleaned(cleaned_batch, wh.read(CLEANED).where(F.col("source_row_id") > done)))
-    lap("clean")
-
-    # dimensions (D-2 .. D-5): Type 1 latest-wins, so merging the newly cleaned rows
-    # equals merging all cleaned rows (older rows never win over newer ones)
-    # The four merges are independent Spark jobs, submitted concurrently.
-    loaded_mark = watermark(marks, "loaded_through")
-    fresh = wh.read(CLEANED).where(F.col("source_row_id") > loaded_mark)
-    concurrently(
-        lambda: wh.replace(CUST, dims.merge_customers(wh.read(CUST), fresh, now=now)),
-        lambda: wh.replace(PROD, dims.merge_products(wh.read(PROD), fresh, now=now)),
-        lambda: wh.replace(BRAN, dims.merge_branches(wh.read(BRAN), fresh, now=now)),
-        lambda: wh.replace(TIME, dims.merge_time(wh.read(TIME), fresh)),
-    )
-    lap("dimensions")
-
-    # fact (D-9); then S-9/S-10 as one run mark: every row up to the cutoff is processed
-    # and every cleaned row up to it is loaded (or lost to an existing transaction id)
-    added = new_facts(fresh, wh.read(CUST), wh.read(PROD), wh.read(TIME), wh.read(BRAN), wh.read(FACT), batch_id, now,
-                      s.broadcast_max_rows)
-    loaded = added.count()
-    wh.append(FACT, added)
-    through = done if cutoff is None else int(cutoff)
-    wh.append(MARKS, spark.createDataFrame([(batch_id, through, through, now)], schemas.RUN_MARKS))
-    lap("fact")
-
-    # smoke counts (Q-8), quality suite (Q-1..Q-7), audit (S-11, Q-9). The suite checks
-    # this run's rows (the source checked the newest 50,000); ``quality_scope="table"``
-    # checks the whole tables.
-    fact, cleaned = wh.read(FACT), wh.read(CLEANED)
-    if s.quality_scope == "batch":
-        fact, cleaned = fact.where(F.col("etl_batch_id") == batch_id), fresh
-    smoke = q.smoke_counts({RAW: ("SMOKE_COUNT_RAW", wh.read(RAW)), CLEANED: ("SMOKE_COUNT_CLEANED", wh.read(CLEANED)),
-                            FACT: ("SMOKE_COUNT_FACT", fact)})
-    suite = q.mart_suite(fact, cleaned, {"customers": wh.read(CUST), "products": wh.read(PROD),
-                                         "time": wh.read(TIME), "branches": wh.read(BRAN)}, s)
-    metrics = smoke.unionByName(suite).checkpoint(eager=True)
+    kept = rejected = loaded = 0
+    if cutoff is not None:
+        # one parse of the batch: every row with its reject reason (the quarantine view),
+        # from which both the cleaned rows and the row accounting are derived
+        tagged = standardise(batch, s).checkpoint(eager=True)
+        counts = counts_of_tagged(tagged, s).first()
+        kept, rejected = int(counts["rows_kept"]), int(counts["rows_rejected"])
+        cleaned = cleaned_layer(survivors_to_cleaned(tagged, s), now)
+        cleaned_part = wh.write(CLEANED, persist_cleaned(cleaned, wh.read(CLEANED).where(F.col("source_row_id") > done)))
+        lap("clean")
+
+        # D-2 .. D-5: Type 1 latest-wins, so merging the newly cleaned rows equals merging
+        # all (older rows never win over newer ones). Four independent jobs side by side.
+        fresh = wh.read(CLEANED, cleaned_part).where(F.col("source_row_id") > done)
+        dim_parts = concurrently(
+            lambda: wh.write(CUST, dims.merge_customers(wh.read(CUST), fresh, now=now), replace=True),
+            lambda: wh.write(PROD, dims.merge_products(wh.read(PROD), fresh, now=now), replace=True),
+            lambda: wh.write(BRAN, dims.merge_branches(wh.read(BRAN), fresh, now=now), replace=True),
+            lambda: wh.write(TIME, dims.merge_time(wh.read(TIME), fresh), replace=True),
+        )
+        changes += [cleaned_part, *dim_parts]
+        lap("dimensions")
+
+        # D-9; then S-9/S-10 as one run mark: every row up to the cutoff is processed and
+        # every cleaned row up to it is loaded (or lost to an existing transaction id)
+        dim = lambda t: wh.read(t, *dim_parts)
+        fact_part = wh.write(FACT, new_facts(fresh, dim(CUST), dim(PROD), dim(TIME), dim(BRAN), wh.read(FACT), batch_id, now))
+        loaded = wh.read(FACT, fact_part).where(F.col("etl_batch_id") == batch_id).count()
+        mark = spark.createDataFrame([(batch_id, int(cutoff), int(cutoff), now)], schemas.RUN_MARKS)
+        changes += [fact_part, wh.write(MARKS, mark)]
+        lap("fact")
+
+    # Q-1..Q-8 over the whole tables as they will be after the commit: a run without new rows
+    # judges what is stored. A check that fails is a metric with status ERROR.
+    now_read = lambda t: wh.read(t, *changes)
+    smoke = q.smoke_checks({t: (f"SMOKE_COUNT_{n}", now_read(t)) for t, n in ((RAW, "RAW"), (CLEANED, "CLEANED"), (FACT, "FACT"))})
+    suite = q.mart_checks(now_read(FACT), now_read(CLEANED), {"customers": now_read(CUST), "products": now_read(PROD),
+                                                              "time": now_read(TIME), "branches": now_read(BRAN)}, s)
+    metrics = q.run_checks(spark, [*smoke, *suite])
     overall = q.overall_status(metrics).first()  # smoke rows are always PASS: same fold
-    wh.append(METRICS, audit.metric_rows(metrics, wh.read(METRICS), batch_id, now))
+    changes.append(wh.write(METRICS, audit.metric_rows(metrics, wh.read(METRICS), batch_id, now)))
     lap("quality")
-    summary = RunSummary(batch_id, extracted, int(counts["rows_kept"]), int(counts["rows_rejected"]), loaded,
-                         bool(overall["passed"]), overall["overall_status"], phases)
-    wh.append(RUNLOG, audit.run_log_row(spark, wh.read(RUNLOG), batch_id, s.pipeline_name, s.task_name, start, _now(),
-                                        summary.quality_passed, extracted, summary.rows_transformed, loaded,
-                                        summary.rows_rejected))
+    summary = RunSummary(batch_id, extracted, kept, rejected, loaded, bool(overall["passed"]), overall["overall_status"], phases)
+    changes.append(wh.write(RUNLOG, audit.run_log_row(spark, wh.read(RUNLOG), batch_id, s.pipeline_name, s.task_name, start, _now(),
+                                                      summary.quality_passed, extracted, kept, loaded, rejected)))
+    wh.commit(*changes)
     return summary
 
 

@@ -59,7 +59,7 @@ def build_mart(
     batch_id: str,
     now: dt.datetime,
     settings: Settings | None = None,
-    date_mode: str = "column",
+    date_mode: str | None = None,
 ) -> Mart:
     s = settings or Settings()
     ensure_checkpoint_dir(raw.sparkSession)
@@ -73,5 +73,5 @@ def build_mart(
             pool.submit(lambda: dm.merge_time(current["time"], cleaned).checkpoint(eager=True)),
         ]
         customers, products, branches, time = [f.result() for f in futures]
-    added = new_facts(cleaned, customers, products, time, branches, current["fact"], batch_id, now, s.broadcast_max_rows)
+    added = new_facts(cleaned, customers, products, time, branches, current["fact"], batch_id, now)
     return Mart(cleaned, customers, products, branches, time, current["fact"].unionByName(added), added)

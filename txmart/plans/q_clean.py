@@ -72,10 +72,7 @@ def _conform_columns(spark, sf_dir):
 def _clean_dates_column(spark, sf_dir):
     """C-1/C-2: column-mode parse of US, EU and mixed columns (mixed falls back to the
     first value's format, so only rows in that format parse)."""
-    df = fx.date_columns(spark, sf_dir)
-    for c in ("d_us", "d_eu", "d_mixed"):
-        df = cl.parse_dates(df, c, mode="column", order_col="id")
-    return df
+    return cl.parse_dates(fx.date_columns(spark, sf_dir), ("d_us", "d_eu", "d_mixed"), mode="column", order_col="id")
 
 
 @register(

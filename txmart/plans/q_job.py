@@ -83,10 +83,9 @@ def _incremental_fact(spark, sf_dir):
     staging = f"{root}/outbox"
     first, second = land_deliveries(spark, sf_dir, staging)
     landing, wh, ckpt = f"{root}/landing", f"{root}/warehouse", f"{root}/checkpoint"
-    cols = delivery_rows(spark, sf_dir).columns
     # each delivery's part files land in the watched folder; one availableNow run each
     spark.read.option("header", True).csv(first).orderBy(F.col("id").cast("long")).write.mode("append").option("header", True).csv(landing)
-    incremental.run_available(spark, landing, wh, cols, ckpt, now=NOW1)
+    incremental.run_available(spark, landing, wh, ckpt, now=NOW1)
     spark.read.option("header", True).csv(second).orderBy(F.col("id").cast("long")).write.mode("append").option("header", True).csv(landing)
-    incremental.run_available(spark, landing, wh, cols, ckpt, now=NOW2)
+    incremental.run_available(spark, landing, wh, ckpt, now=NOW2)
     return job.read_table(spark, wh, job.FACT).select(*FACT_OUT)

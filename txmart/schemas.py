@@ -163,17 +163,22 @@ RUN_MARKS = _struct(
 DELIVERED_FILES = _struct(
     ("source_file_hash", S, True),
     ("source_file_name", S, True),
+    ("source_file_path", S, True),
     ("rows_staged", L, False),
     ("etl_batch_id", S, False),
     ("staged_at", TS, False),
 )
 
+# What the file stream has seen land (one row per file and micro-batch; replays repeat rows).
+LANDED_FILES = _struct(("path", S, False), ("landed_at", TS, False))
+
 # Table name -> schema, in the layers they live in.
 TABLES = {
     "staging.raw_banking_data": RAW,
     "staging.cleaned_banking_data": CLEANED,
     "staging.run_marks": RUN_MARKS,
     "staging.delivered_files": DELIVERED_FILES,
+    "staging.landed_files": LANDED_FILES,
     "mart.dim_customers": DIM_CUSTOMERS,
     "mart.dim_products": DIM_PRODUCTS,
     "mart.dim_branches": DIM_BRANCHES,

@@ -55,6 +55,12 @@ NA_TOKENS = (
 # Date formats tried in order for a whole column (strptime %Y-%m-%d, %m/%d/%Y, %d/%m/%Y).
 DATE_FORMATS = ("yyyy-M-d", "M/d/yyyy", "d/M/yyyy")
 
+# Formats tried on the first value when none of the above fits the whole column.
+FALLBACK_DATE_FORMATS = (
+    "yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s", "yyyy-M-d H:m", "M/d/yyyy H:m:s", "M/d/yyyy H:m", "d/M/yyyy H:m:s", "d/M/yyyy H:m",
+    "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy", "M-d-yyyy", "yyyy/M/d", "yyyyMMdd", "M/d/yy",
+)
+
 # Columns that are stripped and title-cased; a null in any of them drops the row.
 TITLE_COLUMNS = ("customer_name", "branch_location", "product_type")
 
@@ -89,14 +95,14 @@ class Settings:
     max_null_pct: float = 5.0
     duplicate_check_enabled: bool = True
     date_formats: tuple = DATE_FORMATS
+    fallback_date_formats: tuple = FALLBACK_DATE_FORMATS
     dedupe_keys: tuple = DEDUPE_KEYS
     critical_columns: tuple = CRITICAL_COLUMNS
     fill_defaults: dict = field(default_factory=lambda: dict(FILL_DEFAULTS))
-    # Optional cap on rows taken from staging per run (None = all, the default).
-    max_rows_per_run: int | None = None
-    # Dimensions with at most this many rows are broadcast into the fact joins.
-    broadcast_max_rows: int = 2_000_000
-    # Quality suite over this run's rows ("batch") or the whole tables ("table").
-    quality_scope: str = "batch"
+    # "column": one date format per column and batch; "row": each value by itself.
+    date_mode: str = "column"
+    # Quoted fields of delivered CSV files may hold line breaks. Such a file is read by one
+    # task; set False for very large files that are known to have none (then they split).
+    csv_multi_line: bool = True
     pipeline_name: str = "txmart_nightly"
     task_name: str = "full_pipeline"

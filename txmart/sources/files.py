@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import csv
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txmart.operators.clean import missing_profile
 
 READERS = {".csv": "csv", ".parquet": "parquet", ".json": "json", ".jsonl": "json"}
 EXCEL = (".xlsx", ".xls")
+FILES_DDL = "path string, source_file_hash string"
 
 
 class EmptyInput(ValueError):
@@ -21,63 +24,106 @@ def _extension(path: str) -> str:
     return os.path.splitext(path.rstrip("/"))[1].lower()
 
 
-def read_source(spark: SparkSession, paths, fmt: str | None = None) -> DataFrame:
-    """S-1: read delivered files by extension. CSV is read with a header and every
-    column as a string (no inference: ids such as ``007`` stay intact); Parquet and JSON
-    are read as they are. Excel needs a workbook parser that is not installed: land the
-    sheet as CSV/Parquet. A missing path raises Spark's PATH_NOT_FOUND (S-3)."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    if fmt is None:
-        exts = {_extension(p) for p in paths}
-        if len(exts) != 1:
-            raise ValueError(f"Mixed or missing file formats: {sorted(exts)}")
-        ext = exts.pop()
-        if ext in EXCEL:
-            raise ValueError(f"Unsupported file format: {ext} (convert the workbook to CSV or Parquet)")
-        if ext not in READERS:
-            raise ValueError(f"Unsupported file format: {ext}")
-        fmt = READERS[ext]
-    reader = spark.read
-    if fmt == "csv":
-        reader = reader.option("header", True).option("inferSchema", False).option("multiLine", False)
-    return reader.format(fmt).load(paths)
+def _as_list(paths) -> list[str]:
+    return [paths] if isinstance(paths, str) else list(paths)
+
+
+def source_format(paths, fmt: str | None = None) -> str:
+    """The reader for delivered paths, by their common extension unless given (S-1)."""
+    if fmt is not None:
+        return fmt
+    exts = {_extension(p) for p in _as_list(paths)}
+    if len(exts) != 1:
+        raise ValueError(f"Mixed or missing file formats: {sorted(exts)}")
+    ext = exts.pop()
+    if ext in EXCEL:
+        raise ValueError(f"Unsupported file format: {ext} (convert the workbook to CSV or Parquet)")
+    if ext not in READERS:
+        raise ValueError(f"Unsupported file format: {ext}")
+    return READERS[ext]
+
+
+def csv_headers(spark: SparkSession, paths) -> list[tuple[list[str], list[str]]]:
+    """The delivered CSV files grouped by header line: (column names, paths). One small row
+    per file reaches the driver: its path and its first line."""
+    lines = spark.read.text(_as_list(paths)).select(
+        F.col("_metadata.file_path").alias("path"), F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("at"), "value"
+    )
+    first = lines.groupBy("path").agg(F.min_by("value", "at").alias("header")).collect()
+    groups: dict[str, list[str]] = {}
+    for r in sorted(first, key=lambda r: r["path"]):
+        groups.setdefault(r["header"].rstrip("\r"), []).append(r["path"])
+    return [(next(csv.reader([header])), files) for header, files in groups.items() if header.strip()]
+
+
+def read_source(spark: SparkSession, paths, fmt: str | None = None, multi_line: bool = True) -> DataFrame:
+    """S-1: read delivered files by extension, with provenance (S-4).
+
+    CSV: every column as a string (no inference: ids such as ``007`` stay intact), quotes
+    doubled inside quoted fields, quoted line breaks if ``multi_line`` (such a file is then
+    one task); files whose headers differ are read by their own header and united by column
+    name, so neither order nor absent columns shift values. Parquet and JSON are read as
+    they are. A missing path raises Spark's PATH_NOT_FOUND (S-3). Rows carry
+    ``source_file_name``, ``_source_file_path``, ``_block`` (where the scanned piece of the
+    file starts) and ``_pos`` (increasing within it), all taken at the scan."""
+    kind = source_format(paths, fmt)
+    if kind != "csv":
+        return with_provenance(spark.read.format(kind).load(_as_list(paths)))
+    out = None
+    for names, files in csv_headers(spark, paths):
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multi_line)
+        part = with_provenance(reader.csv(files))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        raise EmptyInput("the delivered files hold no header line")
+    return out
 
 
 def with_provenance(df: DataFrame) -> DataFrame:
-    """S-4 (part): each row's file name (base name, like the source system) and size."""
+    """S-4 (part): each row's file name (base name, like the source system), path and place."""
     return df.withColumns(
         {
             "source_file_name": F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1),
             "_source_file_path": F.col("_metadata.file_path"),
-            "_source_file_size": F.col("_metadata.file_size"),
+            "_block": F.col("_metadata.file_block_start"),
+            "_pos": F.monotonically_increasing_id(),
         }
     )
 
 
 def file_hashes(spark: SparkSession, paths) -> DataFrame:
-    """S-4: MD5 of each delivered file's bytes, one task per file: (path, source_file_hash).
-
-    Spark's ``binaryFile`` source reads one file as one value, so a file must fit its
-    size limit (``spark.sql.sources.binaryFile.maxLength``, 2 GiB); split larger
-    deliveries into several files."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.format("binaryFile").load(paths).select(
-        F.col("path").alias("_source_file_path"), F.md5(F.col("content")).alias("source_file_hash")
-    )
-
-
-def stamp_hashes(df: DataFrame, hashes: DataFrame, broadcast_max_files: int = 100_000) -> DataFrame:
-    """Join each row to its file's hash. The hash table has one row per file; it is
-    broadcast when a bounded count shows at most ``broadcast_max_files`` files, else
-    the join is left to Spark."""
-    small = hashes.limit(broadcast_max_files + 1).count() <= broadcast_max_files
-    return df.join(F.broadcast(hashes) if small else hashes, "_source_file_path", "left")
+    """S-4: ``path, source_file_hash`` of each delivered file, one row per file.
+
+    MD5 of the file's bytes, for a file that fits one value
+    (``spark.sql.sources.binaryFile.maxLength``). A larger file gets a digest of its line
+    count and two sums of line hashes instead, computed by splits; it starts with
+    ``lines:`` and (a deliberate difference) does not depend on the order of lines."""
+    paths = _as_list(paths)
+    limit = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength"))
+    listed = spark.read.format("binaryFile").load(paths).select("path", "length")
+    large = [r["path"] for r in listed.where(F.col("length") > limit).collect()]  # file names only
+    whole = spark.read.format("binaryFile").load(paths).where(F.col("length") <= limit)
+    out = whole.select("path", F.md5("content").alias("source_file_hash"))
+    if large:
+        wide = lambda c: c.cast("decimal(38,0)")
+        lines = spark.read.text(large).select(F.col("_metadata.file_path").alias("path"), "value")
+        sums = lines.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.sum(wide(F.xxhash64("value"))).alias("a"), F.sum(wide(F.xxhash64("value", F.lit(1)))).alias("b"))
+        out = out.unionByName(sums.select("path", F.concat(F.lit("lines:"), F.md5(F.concat_ws(":", "n", "a", "b").cast("binary"))).alias("source_file_hash")))
+    return out
+
+
+def stamp_hashes(df: DataFrame, hashes: list) -> DataFrame:
+    """Join each row to its file's hash. ``hashes``: (path, hash) pairs the driver already
+    holds as its list of files to read, so the broadcast side is that list."""
+    pairs = df.sparkSession.createDataFrame(hashes, FILES_DDL).withColumnRenamed("path", "_source_file_path")
+    return df.join(F.broadcast(pairs), "_source_file_path", "left")
 
 
 def require_rows(df: DataFrame) -> DataFrame:
     """S-3: raise when the input has no rows (one-row probe, not a count)."""
     if df.isEmpty():
-        raise EmptyInput("Extracted dataframe is empty")
+        raise EmptyInput("the delivered files hold no rows")
     return df
 
 

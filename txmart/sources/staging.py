@@ -11,19 +11,22 @@ from txmart.operators.keys import assign_keys, next_key_base
 from txmart.settings import CANONICAL_COLUMNS
 
 
-def skip_staged_files(rows: DataFrame, delivered_files: DataFrame) -> DataFrame:
-    """I-2: drop rows of files whose MD5 is already staged (a re-delivered file, even
-    under another name). ``delivered_files`` has one row per staged file, so the guard
-    never scans the raw history; its hashes are joined as a left anti join."""
-    seen = delivered_files.select("source_file_hash").where(F.col("source_file_hash").isNotNull()).distinct()
-    return rows.join(seen, "source_file_hash", "left_anti")
-
-
-def delivered_file_rows(new_raw: DataFrame, batch_id: str, now) -> DataFrame:
-    """One row per file staged by this run (a partial-aggregated group-by on the file)."""
-    return new_raw.groupBy("source_file_hash", "source_file_name").agg(F.count("*").alias("rows_staged")).select(
-        "source_file_hash", "source_file_name", "rows_staged",
-        F.lit(batch_id).alias("etl_batch_id"), F.lit(now).cast("timestamp_ntz").alias("staged_at"),
+def new_files(hashes: DataFrame, delivered_files: DataFrame) -> DataFrame:
+    """I-2: the delivered files whose hash is not staged yet (a re-delivered file, even
+    under another name, is skipped). One row per file on both sides; rows of a skipped file
+    are never read."""
+    seen = delivered_files.select("source_file_hash").where("source_file_hash is not null").distinct()
+    return hashes.join(seen, "source_file_hash", "left_anti").select("path", "source_file_hash")
+
+
+def delivered_file_rows(hashes: list, staged: DataFrame, batch_id: str, now) -> DataFrame:
+    """One ledger row per delivered file, staged or skipped (then 0 rows)."""
+    files = staged.sparkSession.createDataFrame(hashes, "source_file_path string, source_file_hash string")
+    counts = staged.groupBy("_source_file_path").agg(F.count("*").alias("rows_staged"))
+    joined = files.join(counts, F.col("source_file_path") == F.col("_source_file_path"), "left")
+    return joined.select(
+        "source_file_hash", F.element_at(F.split("source_file_path", "/"), -1).alias("source_file_name"), "source_file_path",
+        F.coalesce("rows_staged", F.lit(0)).cast("long").alias("rows_staged"), F.lit(batch_id).alias("etl_batch_id"), F.lit(now).cast("timestamp_ntz").alias("staged_at"),
     )
 
 
@@ -35,22 +38,19 @@ def raw_payload(cols) -> "F.Column":
 def stage_rows(delivered: DataFrame, staged: DataFrame, now, conform_input: bool = True) -> DataFrame:
     """S-6: conformed rows with provenance, ``raw_data`` JSON, flags and new ids.
 
-    ``delivered`` carries the file's columns plus ``source_file_name``,
-    ``source_file_hash`` and ``_source_file_path`` (see ``sources.files``). Ids continue
-    from the staged maximum in (file, position-in-file) order; the position is
-    ``monotonically_increasing_id`` over the file scan, fixed once by the key
-    assignment's checkpoint.
+    ``delivered`` carries the file's columns plus ``source_file_name``, ``source_file_hash``,
+    ``_source_file_path``, ``_block`` and ``_pos`` (see ``sources.files``). Ids continue from
+    the staged maximum in (file path, place in file) order. ``_source_file_path`` stays on
+    the result for the ledger counts; the table's schema leaves it out.
     """
-    pos = delivered.withColumn("_pos", F.monotonically_increasing_id())
-    extra = ("source_file_name", "source_file_hash", "_source_file_path", "_pos")
-    rows = conform(pos, extra=extra) if conform_input else pos
+    extra = ("source_file_name", "source_file_hash", "_source_file_path", "_block", "_pos")
+    rows = conform(delivered, extra=extra) if conform_input else delivered
     payload = raw_payload((*CANONICAL_COLUMNS, "source_file_name", "source_file_hash"))
     ts = F.lit(now).cast("timestamp_ntz")
     rows = rows.withColumns(
         {"raw_data": payload, "is_processed": F.lit(False), "processed_at": F.lit(None).cast("timestamp_ntz"), "created_at": ts}
     )
-    keyed = assign_keys(rows, "id", ["_source_file_path", "_pos"], base=next_key_base(staged, "id"))
-    return keyed.drop("_source_file_path", "_pos")
+    return assign_keys(rows, "id", ["_source_file_path", "_block", "_pos"], base=next_key_base(staged, "id")).drop("_block", "_pos")
 
 
 def persist_cleaned(cleaned_batch: DataFrame, existing: DataFrame) -> DataFrame:

@@ -1,60 +1,71 @@
 """The mart's tables as versioned Parquet folders (S-13 .. S-16).
 
-Layout: ``{root}/{layer}/{table}/v000000001/`` holds a table version; a version becomes
-current when its commit marker ``{root}/{layer}/{table}/_commits/000000001/`` is written
-after the data. Replacing a table writes a new version (a path that is being read is
-never overwritten); appending adds files to the current version. All I/O goes through
-Spark, so the root may be any shared file system the cluster can reach.
+Layout: ``{root}/{layer}/{table}/v000000001/{part}/`` holds rows of a table version; a part
+counts once a commit marker in ``{root}/_commits/`` names it. One marker is one small file
+and may name parts of several tables, so a step that writes many tables becomes visible as
+a whole or not at all, also on a store without atomic folder renames. Replacing a table
+writes a part of the next version; appending adds a part to the current one. All I/O goes
+through Spark, so the root may be any shared file system the cluster can reach. One writer
+at a time.
 """
 
 from __future__ import annotations
 
+import threading
+import uuid
+from typing import NamedTuple
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from txmart import schemas
 
 
+class Change(NamedTuple):
+    """A part that is written but not committed yet."""
+
+    table: str
+    version: int
+    part: str
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._current: dict[str, int | None] = {}
+        self._state: dict[str, tuple[int, list[str]]] | None = None
+        self._lock = threading.Lock()
 
     # -------------------------------------------------------------- layout
-    def table_path(self, table: str) -> str:
-        layer, name = table.split(".", 1)
-        return f"{self.root}/{layer}/{name}"
-
     def version_path(self, table: str, version: int) -> str:
-        return f"{self.table_path(table)}/v{version:09d}"
-
-    def _load_versions(self) -> None:
-        """Read every table's commit markers in one small job: table -> latest version."""
-        found: dict[str, int] = {}
-        try:
-            markers = self.spark.read.schema("version long").json(f"{self.root}/*/*/_commits/*")
-            table_dir = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/([^/]+)/_commits/", 0)
-            rows = markers.groupBy(table_dir.alias("t")).agg(F.max("version").alias("v")).collect()  # one row per table
-            for r in rows:
-                layer, name = r["t"].strip("/").split("/")[:2]
-                found[f"{layer}.{name}"] = int(r["v"])
-        except AnalysisException:
-            pass
-        self._current = {t: found.get(t) for t in schemas.TABLES}
-        self._loaded = True
+        layer, name = table.split(".", 1)
+        return f"{self.root}/{layer}/{name}/v{version:09d}"
+
+    def _part_path(self, change: Change) -> str:
+        return f"{self.version_path(change.table, change.version)}/{change.part}"
+
+    def _load(self) -> dict[str, tuple[int, list[str]]]:
+        """Table -> (latest version, its committed parts), from all markers in one small job
+        (one row per committed part of a run). No markers folder means no warehouse yet; any
+        other error is raised."""
+        with self._lock:
+            if self._state is None:
+                state: dict[str, tuple[int, list[str]]] = {}
+                try:
+                    rows = self.spark.read.schema("table string, version long, part string").json(f"{self.root}/_commits/*").distinct().collect()
+                except AnalysisException as e:
+                    if e.getCondition() != "PATH_NOT_FOUND":
+                        raise
+                    rows = []
+                for r in sorted(rows):
+                    version, parts = state.get(r["table"], (0, []))
+                    state[r["table"]] = (version, [*parts, r["part"]]) if r["version"] == version else (r["version"], [r["part"]])
+                self._state = state
+            return self._state
 
     def current_version(self, table: str) -> int | None:
-        if not getattr(self, "_loaded", False):
-            self._load_versions()
-        return self._current.get(table)
-
-    def _commit(self, table: str, version: int) -> None:
-        marker = f"{self.table_path(table)}/_commits/{version:09d}"
-        one = self.spark.range(1).select(F.lit(version).cast("long").alias("version"))
-        one.coalesce(1).write.mode("errorifexists").json(marker)
-        self._current[table] = version
+        return self._load().get(table, (None, []))[0]
 
     # -------------------------------------------------------------- S-14 / S-15 / S-13
     def exists(self, table: str) -> bool:
@@ -74,38 +85,56 @@ class Warehouse:
             return -1
 
     def initialize(self, seeds: dict[str, DataFrame] | None = None) -> None:
-        """S-13: write the seed rows of every seeded table that does not exist yet;
-        idempotent. Tables without a version read as empty with their schema, so empty
-        tables need no files."""
-        for table, df in (seeds or {}).items():
-            if not self.exists(table):
-                self.replace(table, df)
+        """S-13: the seed rows of every seeded table that does not exist yet, in one commit;
+        idempotent. Tables without a version read as empty with their schema."""
+        self.commit(*[self.write(t, df, replace=True) for t, df in (seeds or {}).items() if not self.exists(t)])
 
     # -------------------------------------------------------------- read / write
-    def read(self, table: str) -> DataFrame:
-        v = self.current_version(table)
-        if v is None:
+    def read(self, table: str, *pending: Change) -> DataFrame:
+        """The committed rows of a table, with uncommitted ``pending`` changes applied."""
+        version, parts = self._load().get(table, (None, []))
+        paths = [f"{self.version_path(table, version)}/{p}" for p in parts]
+        for c in pending:
+            if c.table == table:
+                paths = [self._part_path(c)] if c.version != version else [*paths, self._part_path(c)]
+        if not paths:
             return self.spark.createDataFrame([], schemas.TABLES[table])
-        return self.spark.read.schema(schemas.TABLES[table]).parquet(self.version_path(table, v))
-
-    def replace(self, table: str, df: DataFrame) -> int:
-        """Write ``df`` as the next version, then commit it."""
-        v = (self.current_version(table) or 0) + 1
-        self._conform(table, df).write.mode("errorifexists").parquet(self.version_path(table, v))
-        self._commit(table, v)
-        return v
-
-    def append(self, table: str, df: DataFrame) -> int:
-        """Add ``df``'s rows to the current version (all-or-nothing per Spark job)."""
-        v = self.current_version(table)
-        if v is None:
-            return self.replace(table, df)
-        self._conform(table, df).write.mode("append").parquet(self.version_path(table, v))
-        return v
-
-    def _conform(self, table: str, df: DataFrame) -> DataFrame:
+        return self.spark.read.schema(schemas.TABLES[table]).parquet(*paths)
+
+    def write(self, table: str, df: DataFrame, replace: bool = False) -> Change:
+        """Write ``df`` as a part of the current (or, with ``replace``, the next) version. It
+        is invisible until committed; a part whose step fails is never read."""
+        version = self.current_version(table)
+        change = Change(table, (version or 0) + 1 if replace or version is None else version, uuid.uuid4().hex)
         schema = schemas.TABLES[table]
-        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+        df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]).write.mode("errorifexists").parquet(self._part_path(change))
+        return change
+
+    def commit(self, *changes: Change) -> None:
+        """Make the changes visible together: one marker file."""
+        if not changes:
+            return
+        state = self._load()
+        rows = self.spark.createDataFrame([tuple(c) for c in changes], "table string, version long, part string")
+        rows.coalesce(1).write.mode("errorifexists").json(f"{self.root}/_commits/{uuid.uuid4().hex}")
+        for c in changes:
+            version, parts = state.get(c.table, (0, []))
+            state[c.table] = (version, [*parts, c.part]) if c.version == version else (c.version, [c.part])
+
+    def replace(self, table: str, df: DataFrame) -> None:
+        """Write ``df`` as the next version and commit it."""
+        self.commit(self.write(table, df, replace=True))
+
+    def append(self, table: str, df: DataFrame) -> None:
+        """Add ``df``'s rows to the current version and commit them."""
+        self.commit(self.write(table, df))
+
+    def drop_old_versions(self, table: str) -> None:
+        """Delete the folders of versions before the current one (no reader may use them)."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for version in range(1, self.current_version(table) or 1):
+            path = jvm.org.apache.hadoop.fs.Path(self.version_path(table, version))
+            path.getFileSystem(conf).delete(path, True)
 
     # -------------------------------------------------------------- S-16
     def register_views(self, prefix: str = "") -> None:
