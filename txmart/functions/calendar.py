@@ -13,7 +13,7 @@ def _col(c) -> Column:
 def _shape(fmt: str) -> str | None:
     """A regex every string parseable by ``fmt`` matches, when ``fmt`` is made only of
     numeric fields and separators (e.g. ``yyyy-M-d`` -> ``^[0-9]+-[0-9]+-[0-9]+$``)."""
-    if not fmt or any(ch.isalpha() and ch not in "yMdHhms" for ch in fmt) or "'" in fmt:
+    if not fmt or "MMM" in fmt or any(ch.isalpha() and ch not in "yMdHhms" for ch in fmt) or "'" in fmt:
         return None
     out, prev = [], None
     for ch in fmt:
