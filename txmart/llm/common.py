@@ -62,11 +62,6 @@ def n_words(text: Column) -> Column:
     return F.when(F.length(trimmed) == 0, F.lit(0)).otherwise(F.size(F.split(trimmed, BLANKS))).cast("long")
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """The words of one text as UTF-8 bytes (``bytes.split`` splits on just the six blanks)."""
-    return [] if text is None else text.encode("utf-8", "surrogatepass").split()
-
-
 def record_batch(columns: list, schema: pa.Schema) -> pa.RecordBatch:
     """A record batch of ``schema`` from Arrow arrays and Python lists."""
     return pa.RecordBatch.from_arrays(
@@ -95,7 +90,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def _span_hash(items: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def span_hash(items: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Polynomial hash modulo 2**64 of items[start:end] for many spans at once."""
     n = len(items)
     up = _powers(_R, n + 1)
@@ -120,7 +115,7 @@ def word_hashes(data: bytes) -> np.ndarray:
     raw, start, end = word_spans(data)
     if not len(start):
         return np.zeros(0, dtype=U64)
-    return _span_hash(_TABLE[raw], start, end)
+    return span_hash(_TABLE[raw], start, end)
 
 
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
@@ -129,7 +124,7 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     if n <= 0:
         return np.zeros(0, dtype=U64)
     start = np.arange(n)
-    return _span_hash(words, start, start + k)
+    return span_hash(words, start, start + k)
 
 
 def signed(x: np.ndarray) -> np.ndarray:
