@@ -42,8 +42,16 @@ def test_column_mode_prefers_first_fitting_format(spark):
 def test_fallback_uses_first_value_format(spark):
     df = spark.createDataFrame([(1, "2024-01-05"), (2, "02/03/2024"), (3, "junk")], "id long, d string")
     assert dates(cl.parse_dates(df, "d"), "d") == [dt.datetime(2024, 1, 5), None, None]
-    df2 = spark.createDataFrame([(1, "2024-01-05 00:00:00"), (2, "2024-01-06 10:00:00")], "id long, d string")
-    assert dates(cl.parse_dates(df2, "d"), "d") == [dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 6, 10)]
+    df2 = spark.createDataFrame([(1, "2024-01-05 00:00:00"), (2, "2024-01-06 10:00:00"), (3, "2024-01-07")], "id long, d string")
+    assert dates(cl.parse_dates(df2, "d"), "d") == [dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 6, 10), None]
+
+
+def test_fallback_formats_and_a_bad_first_value(spark):
+    first = lambda *v: dates(cl.parse_dates(spark.createDataFrame(list(enumerate(v)), "id long, d string"), "d"), "d")
+    assert first("not-a-date", "03/04/2024", "2024-05-06") == [None, dt.datetime(2024, 3, 4), dt.datetime(2024, 5, 6)]
+    assert first("Jan 5, 2024", "Feb 6, 2024", "2024-02-07") == [dt.datetime(2024, 1, 5), dt.datetime(2024, 2, 6), None]
+    assert first("5/1/2024 10:00", "6/2/2024 11:30") == [dt.datetime(2024, 5, 1, 10), dt.datetime(2024, 6, 2, 11, 30)]
+    assert first("5-Mar-2024", "6-Apr-2024") == [dt.datetime(2024, 3, 5), dt.datetime(2024, 4, 6)]
 
 
 def test_row_mode(spark):

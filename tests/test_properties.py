@@ -9,6 +9,10 @@ from hypothesis import strategies as st
 from txmart.functions import title_case, trim_ws
 from txmart.functions.values import amount_value
 
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u200a\u2028\u2029\u202f\u205f\u3000"
+# letters of several scripts and every blank; without the few characters whose title case is
+# neither their upper case nor its first character (digraphs, a leading apostrophe)
+UNICODE_TEXT = st.text(alphabet=st.one_of(st.sampled_from(BLANKS), st.characters(categories=("Lu", "Ll", "Lo", "Nd"), max_codepoint=0x24FF, exclude_characters="\u0149\u01c4\u01c5\u01c6\u01c7\u01c8\u01c9\u01ca\u01cb\u01cc\u01f1\u01f2\u01f3\u03a3")), max_size=16)
 ASCII_TEXT = st.text(alphabet="abcXYZ019 '-_.\t,&", max_size=24)
 AMOUNT_TEXT = st.text(alphabet="0123456789.-$,()e ab", max_size=12)
 
@@ -30,6 +34,19 @@ def test_title_case_equals_python(spark, values):
     assert got == [v.strip().title() for v in values]
 
 
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(UNICODE_TEXT, min_size=60, max_size=90))
+def test_strip_equals_python_on_unicode(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    assert [r[0] for r in df.select(trim_ws("v")).collect()] == [v.strip() for v in values]
+
+
+def test_title_case_of_other_scripts(spark):
+    values = ["stra\u00dfe \u00dfa", "\u00e9lan VITAL", "\u03b1\u03b2\u03b3 \u0434\u0415\u0416", "\u4e2dab", "\ufb01n \u00f1u", "o\u2019neil", "x\u0301y"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    assert [r[0] for r in df.select(title_case("v")).collect()] == [v.title() for v in values]
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(AMOUNT_TEXT, min_size=50, max_size=80))
 def test_amount_equals_python(spark, values):

@@ -34,12 +34,16 @@ def local_session(cores: int | str = "*", app: str = "txmart", extra: dict | Non
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
-    Uses the folder the cluster names in ``spark.checkpoint.dir``. Only when that is unset
-    (a bare local session) does it fall back to a folder under the SQL warehouse.
+    The folder the cluster names in ``spark.checkpoint.dir``, else one already set on the
+    context. Where neither is set, a local session falls back to a folder under its SQL
+    warehouse; on a cluster that folder could be local to one machine, so this raises.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    root = conf_dir or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
     sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if root is None:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
