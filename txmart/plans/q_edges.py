@@ -208,11 +208,11 @@ def _dq_referential_cut(spark, sf_dir):
         "table_name", "metric_name", "metric_value", F.coalesce("metric_percentage", "metric_value").alias("metric_percentage"), "record_count", "quality_status")
 
 
-@register("newest_sample", "select event_id, event_type from events order by date_trunc('day', ts) desc, event_id desc limit 1000")
+@register("newest_sample", "select event_id, event_type from events order by date_trunc('day', ts) desc, event_id desc limit 300")
 def _newest_sample(spark, sf_dir):
-    """S-12: the newest 1,000 rows; whole days tie and the key decides."""
+    """S-12: the newest 300 rows; whole days tie and the key decides."""
     ev = _t(spark, sf_dir, "events").select("event_id", "event_type", F.date_trunc("day", F.col("ts")).alias("created_at"))
-    return q.sample_newest(ev, 1000, tie_break="event_id").select("event_id", "event_type")
+    return q.sample_newest(ev, 300, tie_break="event_id").select("event_id", "event_type")
 
 
 _LATER = "2024-02-14 00:00:00"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import uuid
 
@@ -49,9 +51,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_scratch: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/txmart-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder under the shared checkpoint root, deleted when the driver
+    program ends (a driver that is killed leaves it to the cluster's cleaning of that root)."""
+    path = f"{checkpoint_root(spark)}/txmart-{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append((spark, path))
+    return path
+
+
+@atexit.register
+def _delete_scratch() -> None:
+    for spark, path in _scratch:
+        with contextlib.suppress(Exception):  # the session may be gone by now
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
