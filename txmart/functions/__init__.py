@@ -7,7 +7,6 @@ from txmart.functions.values import (
     batch_id_of,
     duration_text,
     rate_pct,
-    round_half_up,
 )
 from txmart.functions.calendar import calendar_columns, parse_with_formats
 
@@ -20,7 +19,6 @@ __all__ = [
     "batch_id_of",
     "duration_text",
     "rate_pct",
-    "round_half_up",
     "calendar_columns",
     "parse_with_formats",
 ]

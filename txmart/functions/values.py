@@ -26,11 +26,6 @@ def age_to_int(c) -> Column:
     return _col(c).try_cast("double").try_cast("int")
 
 
-def round_half_up(c, scale: int = 2) -> Column:
-    """Half-up rounding to ``scale`` places (what SQL ``ROUND`` does on decimals)."""
-    return F.round(_col(c), scale)
-
-
 def rate_pct(part, whole) -> Column:
     """``round(part / whole * 100, 2)``, 0 when ``whole`` is 0 or null."""
     part, whole = _col(part), _col(whole)

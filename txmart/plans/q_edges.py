@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from txmart import schemas
 from txmart.functions.text import null_if_na, trim_ws
+from txmart.functions.values import batch_id_of, rate_pct
 from txmart.operators import clean as cl
 from txmart.operators import dims as dm
 from txmart.operators import fact as fc
@@ -269,6 +270,20 @@ def _na_tokens(spark, sf_dir):
     return _t(spark, sf_dir, "events").select("event_id", null_if_na(token).alias("value"))
 
 
+@register(
+    "batch_ids",
+    """
+    select event_id, strftime(ts, '%Y%m%d_%H%M%S_%g') as batch_id,
+      case when user_id > 0 then cast(round(cast(event_id % 97 as decimal(38,18)) / user_id * 100, 2) as double) else 0 end as rate
+    from events
+    """,
+)
+def _batch_ids(spark, sf_dir):
+    """Run ids from timestamps, and rates that differ from row to row (0 without a whole)."""
+    ev = _t(spark, sf_dir, "events")
+    return ev.select("event_id", batch_id_of("ts").alias("batch_id"), rate_pct(F.col("event_id") % 97, F.col("user_id")).alias("rate"))
+
+
 @register("strip_unicode", "select c_custkey, c_name from customer")
 def _strip_unicode(spark, sf_dir):
     """C-4: no-break, ideographic and line-separator blanks around a name go, inner ones stay."""
