@@ -39,12 +39,16 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: fixed value: the splitting pattern of the byte-level BPE vocabulary
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SEPARATOR = 50256
+#: bytes per id: the vocabulary has fewer than 2**16 ids
+WIDTH = 2
+KINDS = {2: "<u2", 4: "<u4"}
 BLOCK_TOKENS = 1 << 16
+#: documents encoded, and blocks compared, at a time: bounds a Python worker's memory
+ROWS = 256
+BLOCKS_AT_ONCE = 16
 GROUP = 512
 MAX_VOCABULARY_BYTES = 16 << 20
 
-BLOCKS = "file long, block long, data binary"
-ORDER = "file long, ordinal long, doc_id long"
 
 
 def load_ranks(path: str) -> bytes:
@@ -63,7 +67,7 @@ def encoder(ranks: bytes):
     return tiktoken.Encoding("broadcast", pat_str=SPLIT, mergeable_ranks=table_of, special_tokens={})
 
 
-def write_token_files(docs: DataFrame, vocabulary: str = VOCABULARY, separator: int = SEPARATOR, block_tokens: int = BLOCK_TOKENS) -> tuple[DataFrame, DataFrame]:
+def write_token_files(docs: DataFrame, vocabulary: str = VOCABULARY, separator: int = SEPARATOR, block_tokens: int = BLOCK_TOKENS, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
     """(blocks, order): the token files of ``docs``, one per scan task, written to the shared
     folder as blocks, and the side table of which document came where. One pass writes both
     kinds of rows; a lost task is run again whole, before anything of it is visible."""
@@ -73,13 +77,12 @@ def write_token_files(docs: DataFrame, vocabulary: str = VOCABULARY, separator:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, file = encoder(shared.value).encode_ordinary, TaskContext.get().partitionId()
-        rest, block, ordinal = np.zeros(0, dtype="<u4"), 0, 0
-        for b in batches:
-            texts, ids = b.column("text").to_pylist(), b.column("doc_id").to_pylist()
-            pieces = [rest]
-            for text in texts:
-                pieces.append(np.array(encode(text) if text else [], dtype="<u4"))
-                pieces.append(np.array([separator], dtype="<u4"))
+        kind = np.dtype(KINDS[width])
+        end, rest, block, ordinal = np.array([separator], dtype=kind), np.zeros(0, dtype=kind), 0, 0
+        for b in (x.slice(at, ROWS) for x in batches for at in range(0, len(x), ROWS)):
+            ids, pieces = b.column("doc_id").to_pylist(), [rest]
+            for text in b.column("text").to_pylist():
+                pieces += [np.array(encode(text) if text else [], dtype=kind), end]  # an id that does not fit raises
             flat = np.concatenate(pieces)
             full = len(flat) // block_tokens
             data = [flat[i * block_tokens : (i + 1) * block_tokens].tobytes() for i in range(full)]
@@ -96,7 +99,7 @@ def write_token_files(docs: DataFrame, vocabulary: str = VOCABULARY, separator:
     return made.where("block is not null").select("file", "block", "data"), order.select("file", F.col("p.ordinals").alias("ordinal"), F.col("p.ids").alias("doc_id"))
 
 
-def read_token_files(spark: SparkSession, path: str, width: int = 4, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def read_token_files(spark: SparkSession, path: str, width: int = WIDTH, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """``file`` (its path), ``block``, ``data`` of flat token files (up to 2 GiB each)."""
     step = block_tokens * width
     whole = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "content")
@@ -105,21 +108,21 @@ def read_token_files(spark: SparkSession, path: str, width: int = 4, block_token
     return cut.select("file", "block", F.substring("content", (F.col("block") * step + 1).cast("int"), F.lit(step)).alias("data"))
 
 
-def separators(blocks: DataFrame, separator: int = SEPARATOR, width: int = 4) -> DataFrame:
+def separators(blocks: DataFrame, separator: int = SEPARATOR, width: int = WIDTH) -> DataFrame:
     """One row per block: ``file, block, tokens`` and ``at``, its separator positions."""
-    kind = {2: "<u2", 4: "<u4"}[width]
+    kind = KINDS[width]
     schema = T.StructType([blocks.schema["file"], T.StructField("block", T.LongType()), T.StructField("tokens", T.LongType()), T.StructField("at", T.ArrayType(T.IntegerType()))])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (x.slice(at, BLOCKS_AT_ONCE) for x in batches for at in range(0, len(x), BLOCKS_AT_ONCE)):
             ids = [np.frombuffer(x or b"", dtype=kind) for x in b.column("data").to_pylist()]
             yield record_batch([b.column("file"), b.column("block"), [len(x) for x in ids], [np.flatnonzero(x == separator).astype(np.int32) for x in ids]], arrow)
 
     return blocks.select("file", "block", "data").mapInArrow(run, schema)
 
 
-def token_counts(blocks: DataFrame, separator: int = SEPARATOR, width: int = 4, group: int = GROUP) -> DataFrame:
+def token_counts(blocks: DataFrame, separator: int = SEPARATOR, width: int = WIDTH, group: int = GROUP) -> DataFrame:
     """One row per document: ``file, ordinal, n_tokens, closed`` (tokens without separator)."""
     found = materialize(separators(blocks, separator, width).withColumn("part", F.floor(F.col("block") / group)), "separators")
     rows = found.select("file", "part", "block", "tokens", F.size("at").cast("long").alias("n"), F.get("at", F.size("at") - 1).alias("last"))
