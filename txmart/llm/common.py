@@ -147,11 +147,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     last = None
     for _ in range(max_rounds):
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # the key is passed through an expression so that the joins below shuffle this side by
+        # themselves: only then can adaptive execution split a hub's edges on the other side
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").bitwiseXOR(F.lit(0)).alias("u"), F.least("u", "m").alias("m"))
         # large star: every larger neighbour of u is hung on the least of u's neighbourhood
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         # small star: u and its smaller neighbours are hung on the least of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").bitwiseXOR(F.lit(0)).alias("u"), "m")
         small = large.join(low, "u")
         cur = checkpointed(
             small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
