@@ -92,6 +92,19 @@ def test_jaccard_join_brute_force(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted({c for _, c, _ in want} | {None}, key=repr) + ([None] if kept.where("doc_id is null").count() > 1 else [])
 
 
+@pytest.mark.parametrize("shared,union", [(12, 15), (24, 30), (32, 40), (216, 270), (4000, 5000), (80_000, 100_000)])
+def test_jaccard_ties_link(shared, union):
+    """Exactly 0.8 links, inside a block and across two; one shingle more in the union does not."""
+    base = np.arange(1, shared + 1, dtype=np.uint64)
+    half = (union - shared) // 2
+    more = lambda n, at: np.concatenate((base, np.arange(at, at + n, dtype=np.uint64)))
+    for extra in (0, 1):
+        sets = [more(half, 10**6), more(union - shared - half + extra, 2 * 10**6)]
+        for block in ([0, 0], [0, 1]):
+            count, edges = op2.verify_block(np.array([5, 6]), np.array([1, 1]), np.array(block), sets, op2.THRESHOLD)
+            assert count.tolist() == [1 - extra] * 2 and len(edges) == 1 - extra
+
+
 def test_jaccard_blocks_and_crowded_branches(spark, monkeypatch):
     monkeypatch.setattr(op2, "CROWD", 8)
     monkeypatch.setattr(op2, "BLOCK", 7)

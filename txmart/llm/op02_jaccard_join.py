@@ -31,6 +31,7 @@ similarity at exactly the threshold link; empty table: no rows; extra columns ar
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -179,7 +180,7 @@ def _overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np
     keep = times[token] > 1
     token, owner = token[keep], owner[keep]
     _, token = np.unique(token, return_inverse=True)
-    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    out = np.zeros((len(left), len(right)), dtype=np.int64)  # float32 is exact in one step, not in the sum
     width = 4096
     order = np.argsort(token, kind="stable")
     token, owner = token[order], owner[order]
@@ -187,7 +188,7 @@ def _overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np
         lo, hi = np.searchsorted(token, [at, at + width])
         have = np.zeros((len(sets), width), dtype=np.float32)
         have[owner[lo:hi], token[lo:hi] - at] = 1
-        out += have[left] @ have[right].T
+        out += (have[left] @ have[right].T).astype(np.int64)
     return out
 
 
@@ -199,8 +200,10 @@ def verify_block(h: np.ndarray, copies: np.ndarray, block: np.ndarray, sets: lis
     left = np.flatnonzero(first) if cross else np.arange(len(h))
     right = np.flatnonzero(~first) if cross else left
     both = _overlaps(sets, left, right)
-    size = np.array([len(s) for s in sets], dtype=np.float64)
-    linked = both * (1 + threshold) >= threshold * (size[left][:, None] + size[right][None, :]) - 1e-6
+    size = np.array([len(s) for s in sets], dtype=np.int64)
+    # in integers, so that a tie is a tie: shared / union >= over / under
+    over, under = Fraction(threshold).limit_denominator(1_000_000).as_integer_ratio()
+    linked = both * (over + under) >= over * (size[left][:, None] + size[right][None, :])
     if not cross:
         np.fill_diagonal(linked, False)
     count = np.zeros(len(h), dtype=np.int64)
