@@ -120,6 +120,23 @@ def test_jaccard_blocks_and_crowded_branches(spark, monkeypatch):
     assert got == {i: (0, 59) if i < 60 else (i, 0) for i, _ in rows}
 
 
+def test_jaccard_lone_pairs_in_a_crowded_branch(spark, monkeypatch):
+    """Pairs among many unlike texts of one branch (shared boilerplate) are all candidates."""
+    monkeypatch.setattr(op2, "CROWD", 8)
+    rng = np.random.default_rng(6)
+    places = op2.TREES * op2.DEPTH
+    rows = []
+    for pair in range(50):
+        sig = rng.integers(0, 2**16, places).astype(np.uint16)
+        for twin in range(2):
+            own = sig.copy()
+            own[rng.permutation(places)[:10]] = rng.integers(0, 2**16, 10)
+            rows.append((2 * pair + twin, bytearray(own.tobytes()), list(range(op2.TREES)), rng.integers(0, 2**60, op2.TREES).tolist()))
+    nodes = spark.createDataFrame(rows, "h long, sig binary, near array<long>, far array<long>")
+    got = {(min(r), max(r)) for r in op2.candidate_edges(nodes, op2.THRESHOLD).collect()}
+    assert got == {(2 * i, 2 * i + 1) for i in range(50)}
+
+
 def test_jaccard_empty_and_depth(spark):
     assert op2.near_duplicates(empty_docs(spark)).count() == 0 and op2.deduplicate(empty_docs(spark)).count() == 0
     k = op2.match_depth()

@@ -3,11 +3,11 @@
 1. One Arrow map over the documents makes five-word shingle sets, and from each the set
    hash ``h`` (equal sets are one node from here on: exact copies collapse before any
    shuffle of pairs) and ``TREES`` x ``DEPTH`` MinHash values.
-2. The forest: a tree sorts documents by its ``DEPTH`` values; documents that share a prefix
-   are one branch of that trie. The prefix is shortened from ``DEPTH`` to the longest depth
-   whose recall at the threshold, ``1 - (1 - t**depth)**TREES``, reaches the target.
-   Crowded branches (over ``CROWD`` nodes) are grown back to the full prefix, and also cut
-   into salted parts, so that no branch is one task's burden.
+2. The forest: documents that share a prefix of a tree's ``DEPTH`` values are one branch. The
+   prefix is the longest one whose recall at the threshold, ``1 - (1 - t**depth)**TREES``,
+   reaches the target. A crowded branch (over ``CROWD`` nodes) is cut into salted parts, and
+   every two parts meet in a task of their own: none is one task's burden, and every two
+   nodes of a branch are compared, whatever its size.
 3. Inside a branch, signatures estimate similarities; nodes within ``SLACK`` below the
    threshold are chained to a root. Only these star edges leave the task (linear in the
    nodes), and their connected components are the candidate groups.
@@ -19,8 +19,8 @@
 Texts are shuffled once, to fetch the sets of nodes in candidate groups. A branch, a set of
 equal copies or a group may hold a third of all documents: counts are combined map-side,
 joins can be split by adaptive execution, branches and groups are cut as above. The number
-of block tasks of one group grows with the square of its *distinct* texts; that is the price
-of losing no link.
+of tasks of one branch or group grows with the square of its *distinct* texts; that is the
+price of losing no link.
 
 Defined cases: a text of one to four words has one shingle, all its words; null or blank
 texts have none, link with nothing and are their own class; null ids are allowed (a class
@@ -98,24 +98,23 @@ def _identity(docs: DataFrame) -> DataFrame:
 
 
 def signatures(docs: DataFrame, depth: int) -> DataFrame:
-    """``doc_id, rid, th, h, n, sig, near, far``: ``h`` null without shingles; ``near`` and
-    ``far`` are the branch keys at the matching and at the full depth."""
+    """``doc_id, rid, th, h, n, sig, near``: ``h`` null without shingles; ``near`` are the
+    branch keys at the matching depth."""
     picked = _identity(docs).select("doc_id", "rid", "th", F.col("text").alias("__text"))
-    schema = T._parse_datatype_string("doc_id long, rid long, th long, h long, n int, sig binary, near array<long>, far array<long>")
+    schema = T._parse_datatype_string("doc_id long, rid long, th long, h long, n int, sig binary, near array<long>")
     schema = T.StructType(picked.schema.fields[:3] + schema.fields[3:])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cols: list[list] = [[], [], [], [], []]
+            cols: list[list] = [[], [], [], []]
             for text in b.column("__text").to_pylist():
                 grams = shingles(text)
                 if not len(grams):
-                    row = (None, 0, None, None, None)
+                    row = (None, 0, None, None)
                 else:
                     values = minhash(grams)
-                    near, far = signed(branch_keys(values, depth)), signed(branch_keys(values, DEPTH))
-                    row = (int(set_hash(grams).view(np.int64)), len(grams), values.astype(np.uint16).tobytes(), near, far)
+                    row = (int(set_hash(grams).view(np.int64)), len(grams), values.astype(np.uint16).tobytes(), signed(branch_keys(values, depth)))
                 for c, v in zip(cols, row):
                     c.append(v)
             yield record_batch([b.column(i) for i in range(3)] + cols, arrow)
@@ -142,18 +141,17 @@ def stars(sig: np.ndarray, least: int) -> np.ndarray:
 
 def candidate_edges(nodes: DataFrame, threshold: float) -> DataFrame:
     """Star edges ``u, v`` between nodes of a branch whose estimated similarity is near the
-    threshold or above. ``nodes``: one row per set hash, ``h, sig, near, far``."""
-    spread = nodes.select("h", F.explode(F.arrays_zip("near", "far")).alias("k")).select("h", F.col("k.near").alias("near"), F.col("k.far").alias("far"))
+    threshold or above. ``nodes``: one row per set hash, ``h, sig, near``."""
+    spread = nodes.select("h", F.explode("near").alias("near"))
     sizes = spread.groupBy("near").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = materialize(spread.join(sizes, "near"), "branches")
-    plain = shared.where(F.col("n") <= CROWD).select(F.col("near").alias("g"), "h")
-    crowded = shared.where(F.col("n") > CROWD)
-    parts = lambda n: F.pmod(F.xxhash64("h", "near"), F.ceil(F.col(n) / CROWD).cast("long"))
-    salted = crowded.select(F.xxhash64("near", parts("n"), F.lit("salt")).alias("g"), "h")
-    deep = crowded.groupBy("near", "far").agg(F.count(F.lit(1)).alias("n8")).where("n8 > 1")
-    deep = crowded.join(deep, ["near", "far"]).select(F.xxhash64("near", "far", parts("n8"), F.lit("deep")).alias("g"), "h")
-    rows = plain.unionByName(salted).unionByName(deep)
-    total = shared.count()
+    shared = materialize(spread.join(sizes, "near").withColumn("parts", F.ceil(F.col("n") / CROWD).cast("long")), "branches")
+    plain = shared.where("parts = 1").select(F.col("near").alias("g"), "h")
+    # each part goes to every other one, so two nodes of any parts, or of one part, meet
+    part = F.pmod(F.xxhash64("h", "near"), F.col("parts"))
+    crowded = shared.where("parts > 1").select("h", "near", part.alias("part"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other"))
+    crowded = crowded.where("part <> other").select(F.xxhash64("near", F.least("part", "other"), F.greatest("part", "other")).alias("g"), "h")
+    rows = plain.unionByName(crowded)
+    total = shared.agg(F.coalesce(F.sum(F.greatest(F.lit(1), F.col("parts") - 1)), F.lit(0))).first()[0]
     bins = max(1, -(-total // 4000))
     least = int(np.ceil((threshold - SLACK) * TREES * DEPTH))
 
@@ -277,11 +275,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     nodes = materialize(
         sig.where("h is not null").groupBy("h").agg(
             F.count(F.lit(1)).alias("copies"), F.min(one).alias("least"), F.min(F.struct("rid", "th")).alias("id"),
-            F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("near").alias("near"), F.first("far").alias("far"),
-        ).select("h", "copies", "least", "id.rid", "id.th", "n", "sig", "near", "far"),
+            F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("near").alias("near"),
+        ).select("h", "copies", "least", "id.rid", "id.th", "n", "sig", "near"),
         "nodes",
     )
-    groups = components(candidate_edges(nodes.select("h", "sig", "near", "far"), threshold))
+    groups = components(candidate_edges(nodes.select("h", "sig", "near"), threshold))
     found = materialize(verify(docs, nodes, groups, threshold), "links")
     links = found.where("u = v").groupBy(F.col("u").alias("h")).agg(F.sum("links").alias("links"))
     comp = components(found.where("u <> v").select("u", "v"))
