@@ -126,6 +126,17 @@ def test_license_alignment_against_full_table():
         assert text[start:end].split()[0] in (grant[0], grant[1]) and text[start:end].endswith(("Software", "the"))
 
 
+@pytest.mark.parametrize("between", ["", "and", "one two three", "a b c d e f g h i j k"])
+def test_license_adjacent_notices(between):
+    """Notices side by side are all found, repeated or of different licenses."""
+    index = op4.Index(op4.TEMPLATES.items())
+    for names in (["MIT"] * 2, ["MIT"] * 7, ["CC-BY-4.0"] * 3, ["Apache-2.0"] * 4, ["GPL-3.0", "GPL-2.0", "GPL-3.0"], ["CC-BY-SA-4.0", "CC-BY-4.0", "MIT", "MIT", "CC-BY-4.0"]):
+        text = f" {between}\n".join(op4.TEMPLATES[n] for n in names)
+        got = op4.scan_text(index, text)
+        assert [n for _, _, n, _ in got] == names and all(share == 1.0 for *_, share in got)
+        assert [text[a:b] for a, b, _, _ in got] == [op4.TEMPLATES[n].rstrip(".") for n in names]
+
+
 def test_license_scan_cases(spark):
     text = "Ünï é\nLICENSED under the apache license -- version 2.0! x Released under the MIT License. Licensed under CC BY-NC 4.0"
     docs = spark.createDataFrame([(1, text), (1, text), (2, None), (3, ""), (None, "Licensed under something else entirely."), (4, "word " * 50_000)], "doc_id long, text string")

@@ -6,9 +6,11 @@ kept, so any shared run of ``GRAM + WINNOW - 1`` words shares a fingerprint. The
 form one inverted index ``hash -> (template, place)``, broadcast with the templates after
 their size is checked. A document looks all its gram hashes up in the index; hits of one
 template on nearby diagonals are one candidate. Each candidate is aligned with the template
-inside a band around its diagonal; the share of template words matched in order is its
-coverage, and the words from the first to the last match its span, mapped to code points of
-the original text. Overlapping findings keep the one with more matched words.
+inside a band around its diagonal, and again on the words before and after what that matched
+while they hold hits of the candidate: notices side by side share one. The share of template
+words matched in order is the coverage, and the words from the first to the last match the
+span, mapped to code points of the original text. Overlapping findings keep the one with more
+matched words.
 
 One Arrow map over the scan, no shuffle; memory is one batch and the index. Defined cases:
 null or empty text: no match; a template shorter than a gram is its own fingerprint as a
@@ -158,15 +160,35 @@ def align(template: np.ndarray, words: np.ndarray, diagonal: int, band: int) ->
     return out[::-1]
 
 
+def alignments(template: np.ndarray, words: np.ndarray, diagonal: int, band: int, hits: list[tuple[int, int]], gram: int) -> Iterator[list[int]]:
+    """The best alignment within the band, then those of the words before and after it, as
+    long as a hit (place in the template, place in the document) of the band lies in them."""
+    size = min(gram, len(template))
+    spots = np.array(sorted(at for place, at in hits if abs(at - place - diagonal) <= band), dtype=np.int64)
+    todo = [(0, len(words))]
+    while todo:
+        lo, hi = todo.pop()
+        if np.searchsorted(spots, lo) >= np.searchsorted(spots, hi - size, "right"):
+            continue
+        places = [lo + x for x in align(template, words[lo:hi], diagonal - lo, band)]
+        if places:
+            yield places
+            todo += [(lo, places[0]), (places[-1] + 1, hi)]
+
+
 def scan_text(index: Index, text: str | None, band: int = BAND, least: float = MIN_COVERAGE) -> list[tuple[int, int, str, float]]:
     """(start, end, name, coverage) of the licenses in a text, by start."""
     data = folded(text)
     words = word_hashes(data)
     found = []
-    for owner, diagonal in candidates(index.hits(words), band):
-        places = align(index.words[owner], words, diagonal, band)
-        if places and len(places) >= least * len(index.words[owner]):
-            found.append((-len(places), -len(places) / len(index.words[owner]), places[0], places[-1], owner))
+    hits = index.hits(words)
+    own: dict[int, list[tuple[int, int]]] = {}
+    for owner, place, at in hits:
+        own.setdefault(owner, []).append((place, at))
+    for owner, diagonal in candidates(hits, band):
+        for places in alignments(index.words[owner], words, diagonal, band, own[owner], index.gram):
+            if len(places) >= least * len(index.words[owner]):
+                found.append((-len(places), -len(places) / len(index.words[owner]), places[0], places[-1], owner))
     if not found:
         return []
     taken, out = [], []
