@@ -137,6 +137,27 @@ def test_license_adjacent_notices(between):
         assert [text[a:b] for a, b, _, _ in got] == [op4.TEMPLATES[n].rstrip(".") for n in names]
 
 
+def test_license_bodies_without_a_notice():
+    index = op4.Index(op4.TEMPLATES.items())
+    names = lambda text: [n for _, _, n, _ in op4.scan_text(index, f"Some words before.\n{text}\nOther words after.")]
+    conditions = [  # as in files: other holders, quotes and list marks
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:",
+        "* Redistributions of source code must retain the above copyright\n  notice, this list of conditions and the following disclaimer.",
+        "* Redistributions in binary form must reproduce the above copyright\n  notice, this list of conditions and the following disclaimer in the\n"
+        "  documentation and/or other materials provided with the distribution.",
+    ]
+    third = "* Neither the name of the University nor the names of its contributors\n  may be used to endorse or promote products derived from this software\n  without specific prior written permission."
+    advertising = "* All advertising materials mentioning features or use of this software\n  must display the following acknowledgement: This product includes software developed by the University."
+    disclaimer = op4._BSD_DISCLAIMER.replace("THE COPYRIGHT HOLDERS", "THE REGENTS").replace("COPYRIGHT HOLDER", "REGENTS")
+    assert names("\n".join([*conditions, disclaimer])) == ["BSD-2-Clause-text"]
+    assert names("\n".join([*conditions, third, disclaimer])) == ["BSD-3-Clause-text"]
+    assert names("\n".join([*conditions, advertising, third, disclaimer])) == ["BSD-3-Clause"]  # four clauses: only the shared sentence
+    assert names(
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, "
+        "irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form.") == ["Apache-2.0-text"]
+    assert names("but the special requirements of the GNU Affero General Public License,\nsection 13, concerning interaction through a network will apply to the\ncombination as such.") == ["GPL-3.0-text"]
+
+
 def test_license_scan_cases(spark):
     text = "Ünï é\nLICENSED under the apache license -- version 2.0! x Released under the MIT License. Licensed under CC BY-NC 4.0"
     docs = spark.createDataFrame([(1, text), (1, text), (2, None), (3, ""), (None, "Licensed under something else entirely."), (4, "word " * 50_000)], "doc_id long, text string")

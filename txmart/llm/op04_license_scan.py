@@ -35,7 +35,28 @@ BAND = 8
 MIN_COVERAGE = 0.8
 MAX_TEMPLATE_CHARS = 4 << 20
 
-#: fixed values: public license notices by SPDX-like name
+_BSD_CONDITIONS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution. "
+)
+_BSD_ENDORSEMENT = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+    "software without specific prior written permission. "
+)
+_BSD_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED "
+    "TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+    "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+    "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+    "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
+#: fixed values: public license notices by SPDX-like name, and with ``-text`` (MIT: ``-grant``)
+#: clauses that only the body of that license has, or the whole of a short one. The sentence
+#: that the BSD licenses share counts as BSD-3-Clause only where neither whole text matches.
 TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MIT-grant": (
@@ -53,6 +74,35 @@ TEMPLATES = {
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "Apache-2.0-text": (
+        "Grant of Copyright License. Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, "
+        "worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly "
+        "display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form."
+    ),
+    "GPL-2.0-text": (
+        "This License applies to any program or other work which contains a notice placed by the copyright holder saying it may be distributed "
+        "under the terms of this General Public License. The \"Program\", below, refers to any such program or work, and a \"work based on the "
+        "Program\" means either the Program or any derivative work under copyright law: that is to say, a work containing the Program or a portion "
+        "of it, either verbatim or with modifications and/or translated into another language. (Hereinafter, translation is included without "
+        "limitation in the term \"modification\".)"
+    ),
+    "GPL-3.0-text": (
+        "the special requirements of the GNU Affero General Public License, section 13, concerning interaction through a network will apply to "
+        "the combination as such."
+    ),
+    "LGPL-3.0-text": (
+        "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public "
+        "License, supplemented by the additional permissions listed below."
+    ),
+    "MPL-2.0-text": (
+        "Each Contributor hereby grants You a world-wide, royalty-free, non-exclusive license: (a) under intellectual property rights (other than "
+        "patent or trademark) Licensable by such Contributor to use, reproduce, make available, modify, display, perform, distribute, and "
+        "otherwise exploit its Contributions, either on an unmodified basis, with Modifications, or as part of a Larger Work; "
+        "and (b) under Patent Claims of such Contributor to make, use, sell, offer for sale, have made, import, and otherwise transfer either its "
+        "Contributions or its Contributor Version."
+    ),
+    "BSD-2-Clause-text": _BSD_CONDITIONS + _BSD_DISCLAIMER,
+    "BSD-3-Clause-text": _BSD_CONDITIONS + _BSD_ENDORSEMENT + _BSD_DISCLAIMER,
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
