@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import awkward_docs, awkward_texts, empty_docs, labels, words
 
@@ -177,6 +178,34 @@ def test_substring_dedup_brute_force(spark, seed):
     assert all(hashlib.sha256(r.kept.encode()).hexdigest() == r.kept_sha256 for r in got)
 
 
+@pytest.mark.parametrize("most", [2, 20])
+def test_substring_dedup_hot_anchors_brute_force(spark, most):
+    rng = random.Random(8)
+    passages = [[f"p{k}_{rng.randrange(6)}" for _ in range(rng.randrange(15, 60))] for k in range(4)]
+    rows = [(None, " ".join(passages[0] * 3))]
+    for i in range(60):
+        ws = []
+        for _ in range(rng.randrange(1, 6)):
+            ws += rng.choice(passages) + [f"u{rng.randrange(4)}" for _ in range(rng.randrange(8))]
+        rows.append((i if i % 9 else 1000 - i, " ".join(ws)))
+    got = op5.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string"), shard_bytes=2000, most=most).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=repr) == brute_dedup(rows, 20)
+
+
+def test_substring_dedup_spreads_a_hot_anchor(spark):
+    """A frequent phrase between unlike words: its rows do not all meet in one bucket."""
+    phrase = min(([f"c{k}_{i}".encode() for i in range(5)] for k in range(3000)), key=lambda p: gram_hashes(word_hashes(b" ".join(p)), 5)[0])
+    docs = [" ".join([f"a{d}_{i}" for i in range(40)] + [x.decode() for x in phrase] + [f"b{d}_{i}" for i in range(40)]) for d in range(30)]
+    n = len(docs)
+    shard = pa.table({"no_id": [False] * n, "rid": list(range(n)), "th": list(range(n)), "text": docs, "shard": [0] * n})
+    anchor = gram_hashes(word_hashes(b" ".join(phrase)), 5).view(np.int64)
+    schema = op5.to_arrow_schema(op5.T._parse_datatype_string(op5.RUN))
+    for times, most in ((20_000, 1), (30, n)):
+        runs = op5.candidates(shard, pa.table({"shard": [0], "anchor": anchor, "n": [times]}), 20, 5, schema)
+        assert sum(runs.column("windows").to_pylist()) == 16 * n
+        assert max(Counter(runs.column("spread").to_pylist()).values()) == most
+
+
 def test_substring_dedup_cases(spark):
     got = op5.dedup_substrings(awkward_docs(spark)).collect()
     assert len(got) == len(awkward_texts())

@@ -12,15 +12,17 @@ same document and earlier start). Four steps, none of which holds more than a sh
    occur in it and streams its documents through it, which locates every occurrence. Windows
    around an occurrence that anchor there are the candidates: one row per run of them and
    distinct content leaves the shard (later equal runs of the same shard are repeats, and
-   leave as joined ranges that need no confirmation).
-3. *Confirmation.* Candidate rows meet by anchor; of every window hash the first occurrence,
+   leave as joined ranges that need no confirmation). Runs of a hot anchor (over ``HOT``
+   occurrences in all) leave as single windows instead, the first of each hash in the shard.
+3. *Confirmation.* Candidate rows meet by anchor, windows of hot anchors by their own hash: equal
+   windows share their anchor, so all of a hash meet either way. Of every window hash the first occurrence,
    in order of document and place, is kept, and ranges of the others go back.
 4. *Removal.* The shard's documents (the same shuffle files are read again) drop the words
    that those ranges cover.
 
 Work and traffic are linear in the words; an automaton holds only what occurs in its own
-shard. A phrase that a third of all documents share sends one row per shard, not one per
-document. Window hashes have 64 bits, anchors are matched as text.
+shard. A phrase that a third of all documents share sends one row per shard and window hash,
+not one per document, and those hashes are spread over the buckets. Window hashes have 64 bits, anchors are matched as text.
 
 Defined cases: null or short texts keep all their words; null ids come last, ordered by text
 hash; rows that share an id but not the text are ordered by text hash; rows repeated in full
@@ -46,6 +48,7 @@ from txmart.llm.common import U64, gram_hashes, mix64, record_batch, register, s
 WINDOW = 20
 PHRASE = 5
 SHARD_BYTES = 1 << 20
+HOT = 10_000
 
 
 class Words:
@@ -103,7 +106,8 @@ def _sharded(docs: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
 
 
 def recurring_phrases(docs: DataFrame, window: int, phrase: int) -> DataFrame:
-    """``shard, anchor`` of anchors that occur twice or more in all documents together."""
+    """``shard, anchor, n`` of anchors that occur twice or more (``n`` times) in all documents
+    together."""
     schema = T._parse_datatype_string("anchor long, shard long, times int")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,11 +123,11 @@ def recurring_phrases(docs: DataFrame, window: int, phrase: int) -> DataFrame:
                 anchor, shard = anchor[spots][order], shard[order]
                 new = np.flatnonzero(np.concatenate(([True], (np.diff(anchor) != 0) | (np.diff(shard) != 0)))) if len(anchor) else np.zeros(0, dtype=np.int64)
                 times = np.diff(np.concatenate((new, [len(anchor)])))
-                yield record_batch([pa.array(signed(anchor[new])), pa.array(shard[new]), pa.array(np.minimum(times, 2))], arrow)
+                yield record_batch([pa.array(signed(anchor[new])), pa.array(shard[new]), pa.array(times)], arrow)
 
     seen = docs.select("shard", "text").mapInArrow(emit, schema)
-    often = seen.groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1").select("anchor")
-    return seen.select("anchor", "shard").join(often, "anchor").select("shard", "anchor")
+    often = seen.groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1")
+    return seen.select("anchor", "shard").join(often, "anchor").select("shard", "anchor", "n")
 
 
 def locate(words: list[bytes], phrases: list[bytes], size: int) -> np.ndarray:
@@ -165,10 +169,11 @@ def _spread_ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.arange(length.sum()) - np.repeat(before - start, length)
 
 
-def candidates(docs: pa.Table, recurring: pa.Table, window: int, phrase: int, schema: pa.Schema) -> pa.Table:
-    """Step 2 for one shard: rows of ``RUN`` in order of document and place."""
+def candidates(docs: pa.Table, recurring: pa.Table, window: int, phrase: int, schema: pa.Schema, most: int = HOT) -> pa.Table:
+    """Step 2 for one shard: rows of ``RUN``."""
     keys, texts = _in_order(docs)
     known = np.unique(recurring.column("anchor").to_numpy()).view(U64) if len(recurring) else np.zeros(0, dtype=U64)
+    hot = recurring.filter(pa.compute.greater(recurring.column("n"), most)).column("anchor").to_numpy().view(U64) if len(recurring) else known
     w = Words(texts)
     anchor, place, first, end = w.runs(window, phrase)
     # one place of each recurring phrase gives its words; the automaton finds all the others
@@ -186,8 +191,17 @@ def candidates(docs: pa.Table, recurring: pa.Table, window: int, phrase: int, sc
     grams = gram_hashes(w.hashes, window)
     repeat = np.zeros(len(grams) + 1, dtype=bool)
     repeat[_spread_ranges(first[~fresh], (end - first)[~fresh])] = True
-    r_first, r_size = _ranges(repeat)
     anchor, first, size = anchor[fresh], first[fresh], (end - first)[fresh]
+    # windows of hot anchors go one by one, by their own hash; the shard's later ones are repeats
+    much = np.isin(anchor, hot)
+    single = np.sort(_spread_ranges(first[much], size[much]).astype(np.int64))
+    alone, at = np.unique(grams[single], return_index=True)
+    again = np.ones(len(single), dtype=bool)
+    again[at] = False
+    repeat[single[again]] = True
+    r_first, r_size = _ranges(repeat)
+    anchor = np.concatenate((anchor[~much], mix64(alone)))
+    first, size = np.concatenate((first[~much], single[at])), np.concatenate((size[~much], np.ones(len(at), dtype=np.int64)))
     n, m = len(first), len(r_first)
     shard = docs.column("shard")[0].as_py() if len(docs) else 0
     owner = w.text_of[np.concatenate((first, r_first)).astype(np.int64)]
@@ -246,13 +260,13 @@ def strip(docs: pa.Table, gone: pa.Table, window: int, keep_text: bool, schema:
     return pa.Table.from_arrays([pa.array([r[i] for r in rows], type=f.type) for i, f in enumerate(schema)], schema=schema)
 
 
-def dedup_substrings(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, shard_bytes: int = SHARD_BYTES, keep_text: bool = True) -> DataFrame:
+def dedup_substrings(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, shard_bytes: int = SHARD_BYTES, keep_text: bool = True, most: int = HOT) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_removed, kept_sha256, kept``."""
     sharded, shards = _sharded(docs, shard_bytes)
     by_shard = sharded.groupBy("shard")
     run_schema, gone_schema, result_schema = (to_arrow_schema(T._parse_datatype_string(x)) for x in (RUN, GONE, RESULT))
     phrases = recurring_phrases(sharded, window, phrase)
-    runs = by_shard.cogroup(phrases.groupBy("shard")).applyInArrow(lambda d, p: candidates(d, p, window, phrase, run_schema), RUN)
+    runs = by_shard.cogroup(phrases.groupBy("shard")).applyInArrow(lambda d, p: candidates(d, p, window, phrase, run_schema, most), RUN)
     buckets = max(1, -(-shards // 8))
     gone = runs.withColumn("bucket", F.pmod("spread", F.lit(buckets))).groupBy("bucket").applyInArrow(lambda r: confirm(r, gone_schema), GONE)
     return by_shard.cogroup(gone.groupBy("shard")).applyInArrow(lambda d, g: strip(d, g, window, keep_text, result_schema), RESULT)
