@@ -106,6 +106,14 @@ def test_jaccard_ties_link(shared, union):
             assert count.tolist() == [1 - extra] * 2 and len(edges) == 1 - extra
 
 
+def test_deduplicate_keeps_every_wordless_row(spark):
+    blank = [(None, None), (None, None), (None, ""), (7, None), (7, ""), (7, ""), (8, " \t\n\x0b\x0c\r"), (8, " \t\n\x0b\x0c\r")]
+    docs = spark.createDataFrame([*blank, (1, "a b c"), (1, "a b c"), (2, " a b\nc"), (3, "\x1c"), (4, "\xa0")], "doc_id long, text string")
+    got = op2.deduplicate(docs)
+    assert got.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter([*blank, (1, "a b c"), (3, "\x1c"), (4, "\xa0")])
+
+
 def test_jaccard_blocks_and_crowded_branches(spark, monkeypatch):
     monkeypatch.setattr(op2, "CROWD", 8)
     monkeypatch.setattr(op2, "BLOCK", 7)

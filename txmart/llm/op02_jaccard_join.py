@@ -293,13 +293,15 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
 
 
 def deduplicate(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one row per class of near copies (texts without words all stay)."""
+    """``docs`` with one row per class of near copies; rows whose text has no words all stay."""
     classes = near_duplicates(docs, threshold)
     keep = classes.where("rid = keep_rid and th = keep_th").select("rid", "th").distinct()
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     th = F.xxhash64(F.coalesce("doc.text", F.lit("")))
     keyed = whole.withColumn("th", th).withColumn("rid", F.coalesce("doc.doc_id", "th"))
-    return keyed.join(keep, ["rid", "th"]).dropDuplicates(["rid", "th"]).select("doc.*")
+    worded = F.coalesce(F.col("doc.text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = keyed.where(worded).join(keep, ["rid", "th"]).dropDuplicates(["rid", "th"])
+    return kept.select("doc.*").union(whole.where(~worded).select("doc.*"))
 
 
 @register("op2_jaccard_join")
