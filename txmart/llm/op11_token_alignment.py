@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -241,7 +242,7 @@ def align(docs: DataFrame, vocabulary_a: str = VOCABULARY_A, vocabulary_b: str =
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of at most ROWS documents and about ROW_CHARS bytes of text."""
     text = batch.column(0).field("text")
-    size = pa.compute.fill_null(pa.compute.binary_length(text), 0).to_numpy()
+    size = pc.fill_null(pc.binary_length(text), 0).to_numpy()
     at = n = total = 0
     for i in range(len(batch)):
         if n and (n == ROWS or total + size[i] > ROW_CHARS):
@@ -294,7 +295,7 @@ def _looked_up(aligned: DataFrame, counts: DataFrame, kept: list[str]) -> DataFr
             lists = b.column("pairs")
             times = b.column("times").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             at = np.searchsorted(pair, lists.flatten().to_numpy(zero_copy_only=False))
-            ends = np.concatenate(([0], np.cumsum(pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))))
+            ends = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))))
             upto = [np.concatenate(([0], np.cumsum(x))) for x in (times * best[at], times * n[at])] if len(at) else [np.zeros(1, np.int64)] * 2
             yield record_batch([*(b.column(c) for c in kept), *(pa.array(u[ends[1:]] - u[ends[:-1]]) for u in upto)], arrow)
 
