@@ -39,7 +39,8 @@ PATTERNS = {
     "hex": r"[0-9a-f]{24,}",
     "bare": r"[A-Za-z0-9+/_-]{20,}",
     "ident": r"""(?i)(?:username|user_id|userid|user|login|client_?id|account_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}""",
-    "endpoint": r"""[A-Za-z][A-Za-z0-9+.-]*://[^\x20\x09-\x0D"'<>]+""",
+    # a scheme has at most 32 characters here: without a bound, a long run of letters costs its square
+    "endpoint": r"""[A-Za-z][A-Za-z0-9+.-]{0,31}://[^\x20\x09-\x0D"'<>]+""",
 }
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 IDENT_WORDS = ("user", "login", "client", "account")
@@ -112,7 +113,10 @@ def link(parts: DataFrame, reach: int = REACH) -> DataFrame:
     """Strong parts, and the weak ones whose complements are in scope."""
     of = lambda *names: F.col("kind").isin(*[KINDS.index(n) for n in names])
     order = Window.partitionBy("doc_id", "h").orderBy("start", "kind", "end")
-    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    # what comes after is a running minimum from the end: a frame that ends unbounded would be
+    # added up anew for every part, the square of a document's parts
+    back = Window.partitionBy("doc_id", "h").orderBy(F.desc("start"), F.desc("kind"), F.desc("end"))
+    before, after = (w.rowsBetween(Window.unboundedPreceding, -1) for w in (order, back))
 
     def near(kinds: Column, gap: int) -> Column:
         """Does a part of these kinds end after start - gap and start before end + gap?"""
