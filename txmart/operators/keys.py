@@ -13,6 +13,8 @@
 4. count rows per partition (one row per partition), cumulative offsets over those
    counts, and join the offsets back by broadcast — its size is bounded by the
    partition count, not by the data.
+
+``number_by_place`` numbers scanned rows without moving them.
 """
 
 from __future__ import annotations
@@ -29,6 +31,21 @@ def next_key_base(existing: DataFrame, key_col: str, floor: int = 0) -> DataFram
     return existing.agg(F.greatest(F.coalesce(F.max(key_col), F.lit(floor)), F.lit(floor)).cast("long").alias("_base"))
 
 
+def number_by_place(df: DataFrame, key_col: str, places: DataFrame, base: DataFrame) -> DataFrame:
+    """Add ``key_col`` = base + place of the row in the order of file, piece and position.
+
+    For rows that carry where they were scanned (``_source_file_path, _block, _pos``, dense from
+    ``first`` within a piece): ``places`` has one row per piece with its number of ``records``,
+    a running sum over these few rows gives every piece its first number, and a row's number
+    is a projection. Nothing is shuffled or checkpointed. ``places`` is broadcast: a scan has as
+    many pieces as the driver plans tasks for."""
+    upto = Window.orderBy("_source_file_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("records").over(upto), F.lit(0)) - F.col("first")
+    offsets = places.select("_source_file_path", "_block", shift.alias("_shift")).crossJoin(F.broadcast(base.select(F.col("_base").cast("long"))))
+    key = F.col("_base") + F.col("_shift") + F.col("_pos") + 1
+    return df.join(F.broadcast(offsets), ["_source_file_path", "_block"]).withColumn(key_col, key).drop("_shift", "_base")
+
+
 def assign_keys(
     df: DataFrame,
     key_col: str,

@@ -22,6 +22,7 @@ from txmart.operators import audit, dims
 from txmart.operators import quality as q
 from txmart.operators.clean import counts_of_tagged, standardise, survivors_to_cleaned
 from txmart.operators.fact import new_facts, take_unprocessed, watermark, with_run_flags
+from txmart.operators.keys import next_key_base
 from txmart.plans.mart import cleaned_layer
 from txmart.session import ensure_checkpoint_dir
 from txmart.settings import Settings
@@ -66,36 +67,50 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-def extract(spark: SparkSession, hashes: list, settings: Settings, fmt: str | None = None) -> DataFrame:
-    """S-1..S-4: rows of the files in ``hashes`` (path, hash) with file name and hash."""
-    rows = files.read_source(spark, [p for p, _ in hashes], fmt, settings.csv_multi_line)
-    return files.stamp_hashes(rows, hashes)
+def extract(spark: SparkSession, hashes: list, settings: Settings, fmt: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """S-1..S-4: rows of the files in ``hashes`` (path, hash) with file name and hash, and
+    where they were read."""
+    rows, places = files.read_delivery(spark, [files.plain_path(p) for p, _ in hashes], fmt, settings.csv_multi_line)
+    return files.stamp_hashes(rows, hashes), places
 
 
 def stage_files(spark: SparkSession, paths, wh: Warehouse, settings: Settings, now: dt.datetime, batch_id: str,
                 skip_redelivered: bool = True, fmt: str | None = None) -> int:
     """S-6, I-2: stage the rows of the delivered files that are not staged yet. Rows and file
     ledger are one commit. Returns the number of rows staged; only the list of delivered
-    files (what any scan has to plan from) passes through the driver."""
+    files (what any scan has to plan from) passes through the driver. A file without a record
+    gets an error row in the ledger; if no file has one, ``EmptyInput`` is raised after that."""
     fmt = files.source_format(paths, fmt)
-    listed = files.file_hashes(spark, paths).checkpoint(eager=True)  # each file hashed once
+    listed = files.file_hashes(spark, paths)  # each file hashed once
     fresh = new_files(listed, wh.read(FILES)) if skip_redelivered else listed
     every = [tuple(r) for r in listed.select("path", "source_file_hash").orderBy("path").collect()]
     taken = [tuple(r) for r in fresh.select("path", "source_file_hash").orderBy("path").collect()]
+    ledger = lambda counts: wh.write(FILES, delivered_file_rows(every, counts, batch_id, now, {p for p, _ in taken}, spark))
     if not taken:
         if every:
-            wh.append(FILES, delivered_file_rows(every, spark.createDataFrame([], "_source_file_path string"), batch_id, now))
+            wh.commit(ledger({}))
         return 0
-    delivered = files.require_rows(extract(spark, taken, settings, fmt))
-    rows = stage_rows(delivered, wh.read(RAW), now)  # checkpointed inside the key assignment
-    wh.commit(wh.write(RAW, rows), wh.write(FILES, delivered_file_rows(every, rows, batch_id, now)))
-    return rows.count()
+    try:
+        delivered, places = extract(spark, taken, settings, fmt)
+        places = places.checkpoint(eager=True)  # one row per scanned piece of a file
+        counts = {r["_source_file_path"]: r["n"] for r in places.groupBy("_source_file_path").agg(F.sum("records").alias("n")).collect()}
+        if not sum(counts.values()):
+            raise files.EmptyInput("the delivered files hold no rows")
+    except files.EmptyInput:
+        wh.commit(ledger({}))
+        raise
+    # staged ids above the processed watermark lie in the newest files; below it, it is the maximum
+    done = watermark(wh.read(MARKS), "processed_through")
+    base = next_key_base(wh.read(RAW).where(F.col("id") > done), "id", floor=max(done, 0))
+    wh.commit(wh.write(RAW, stage_rows(delivered, places, base, now)), ledger(counts))
+    return sum(counts.values())
 
 
 def run(spark: SparkSession, paths, warehouse_root: str, settings: Settings | None = None, now: dt.datetime | None = None,
         batch_id: str | None = None, skip_redelivered: bool = True, fmt: str | None = None) -> RunSummary:
     """R-1 over delivered files (a folder of part files needs ``fmt``). An empty delivery
-    raises ``EmptyInput`` (S-3) before anything is staged."""
+    raises ``EmptyInput`` (S-3): a FAILED run, with no rows staged and every empty file in the
+    ledger."""
     s = settings or Settings()
     ensure_checkpoint_dir(spark)
     start = _now()
@@ -106,8 +121,6 @@ def run(spark: SparkSession, paths, warehouse_root: str, settings: Settings | No
         initialize(spark, wh)
         extracted = stage_files(spark, paths, wh, s, now, batch_id, skip_redelivered, fmt) if paths else 0
         return transform(spark, wh, s, now, batch_id, start, extracted)
-    except files.EmptyInput:
-        raise
     except Exception as e:
         failed = Warehouse(spark, warehouse_root)  # what is committed, nothing of this run's parts
         failed.append(RUNLOG, audit.run_log_row(spark, failed.read(RUNLOG), batch_id, s.pipeline_name, s.task_name, start, _now(),

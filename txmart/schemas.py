@@ -167,6 +167,7 @@ DELIVERED_FILES = _struct(
     ("rows_staged", L, False),
     ("etl_batch_id", S, False),
     ("staged_at", TS, False),
+    ("error", S, True),  # why a file that was read gave no rows
 )
 
 # What the file stream has seen land (one row per file and micro-batch; replays repeat rows).

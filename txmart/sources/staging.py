@@ -7,27 +7,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txmart.operators.conform import conform
-from txmart.operators.keys import assign_keys, next_key_base
+from txmart.operators.keys import number_by_place
+from txmart.schemas import DELIVERED_FILES
 from txmart.settings import CANONICAL_COLUMNS
 
 
 def new_files(hashes: DataFrame, delivered_files: DataFrame) -> DataFrame:
     """I-2: the delivered files whose hash is not staged yet (a re-delivered file, even
     under another name, is skipped). One row per file on both sides; rows of a skipped file
-    are never read."""
+    are never read. A file that gave no record was not staged."""
+    if "error" in delivered_files.columns:
+        delivered_files = delivered_files.where("error is null")
     seen = delivered_files.select("source_file_hash").where("source_file_hash is not null").distinct()
     return hashes.join(seen, "source_file_hash", "left_anti").select("path", "source_file_hash")
 
 
-def delivered_file_rows(hashes: list, staged: DataFrame, batch_id: str, now) -> DataFrame:
-    """One ledger row per delivered file, staged or skipped (then 0 rows)."""
-    files = staged.sparkSession.createDataFrame(hashes, "source_file_path string, source_file_hash string")
-    counts = staged.groupBy("_source_file_path").agg(F.count("*").alias("rows_staged"))
-    joined = files.join(counts, F.col("source_file_path") == F.col("_source_file_path"), "left")
-    return joined.select(
-        "source_file_hash", F.element_at(F.split("source_file_path", "/"), -1).alias("source_file_name"), "source_file_path",
-        F.coalesce("rows_staged", F.lit(0)).cast("long").alias("rows_staged"), F.lit(batch_id).alias("etl_batch_id"), F.lit(now).cast("timestamp_ntz").alias("staged_at"),
-    )
+def delivered_file_rows(hashes: list, rows_of: dict, batch_id: str, now, taken: set, spark) -> DataFrame:
+    """One ledger row per delivered file (``hashes``: path, hash; ``rows_of``: rows by path).
+    A file that was read and gave no record has an ``error``; it does not count as staged, so
+    the same bytes delivered again are judged again."""
+    error = lambda path: "no rows" if path in taken and not rows_of.get(path) else None
+    files = [(digest, path.rsplit("/", 1)[-1], path, rows_of.get(path, 0), batch_id, now, error(path)) for path, digest in hashes]
+    return spark.createDataFrame(files, DELIVERED_FILES)
 
 
 def raw_payload(cols) -> "F.Column":
@@ -35,13 +36,13 @@ def raw_payload(cols) -> "F.Column":
     return F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"})
 
 
-def stage_rows(delivered: DataFrame, staged: DataFrame, now, conform_input: bool = True) -> DataFrame:
+def stage_rows(delivered: DataFrame, places: DataFrame, base: DataFrame, now, conform_input: bool = True) -> DataFrame:
     """S-6: conformed rows with provenance, ``raw_data`` JSON, flags and new ids.
 
     ``delivered`` carries the file's columns plus ``source_file_name``, ``source_file_hash``,
-    ``_source_file_path``, ``_block`` and ``_pos`` (see ``sources.files``). Ids continue from
-    the staged maximum in (file path, place in file) order. ``_source_file_path`` stays on
-    the result for the ledger counts; the table's schema leaves it out.
+    ``_source_file_path``, ``_block`` and ``_pos``, ``places`` counts them per piece of a file
+    (see ``sources.files``). Ids follow ``base`` (one row ``_base``) in the order of (file path,
+    place in file); rows are numbered where they are read.
     """
     extra = ("source_file_name", "source_file_hash", "_source_file_path", "_block", "_pos")
     rows = conform(delivered, extra=extra) if conform_input else delivered
@@ -50,7 +51,7 @@ def stage_rows(delivered: DataFrame, staged: DataFrame, now, conform_input: bool
     rows = rows.withColumns(
         {"raw_data": payload, "is_processed": F.lit(False), "processed_at": F.lit(None).cast("timestamp_ntz"), "created_at": ts}
     )
-    return assign_keys(rows, "id", ["_source_file_path", "_block", "_pos"], base=next_key_base(staged, "id")).drop("_block", "_pos")
+    return number_by_place(rows, "id", places, base).drop("_source_file_path", "_block", "_pos")
 
 
 def persist_cleaned(cleaned_batch: DataFrame, existing: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from txmart.plans import job
 from txmart.settings import Settings
+from txmart.sources.files import plain_path
 from txmart.sources.warehouse import Warehouse
 
 LANDED = "staging.landed_files"
@@ -26,12 +27,12 @@ LANDED = "staging.landed_files"
 def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = 1000) -> DataFrame:
     """The paths that land in ``landing_dir`` (file contents are pruned from the scan)."""
     reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
-    return reader.option("maxFilesPerTrigger", max_files_per_trigger).load(landing_dir).select("path", "length")
+    return reader.option("maxFilesPerTrigger", max_files_per_trigger).load(landing_dir).select(F.col("_metadata.file_path").alias("path"), "length")
 
 
 def _record(warehouse_root: str, stamp: dt.datetime):
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        paths = batch.where("length > 0").select("path", F.lit(stamp).cast("timestamp_ntz").alias("landed_at"))
+        paths = batch.select("path", F.lit(stamp).cast("timestamp_ntz").alias("landed_at"))
         Warehouse(batch.sparkSession, warehouse_root).append(LANDED, paths)
 
     return handle
@@ -66,5 +67,5 @@ def run_available(
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    paths = pending_files(Warehouse(spark, warehouse_root))
+    paths = [plain_path(p) for p in pending_files(Warehouse(spark, warehouse_root))]
     return job.run(spark, paths, warehouse_root, settings, now=stamp, fmt=fmt) if paths else None
