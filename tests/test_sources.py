@@ -63,6 +63,24 @@ def test_a_csv_with_quoted_line_breaks_splits(spark, tmp_root, split):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_files_of_both_kinds_together(spark, tmp_root):
+    """Files of one record a line and others in one delivery, each in several splits."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
+    try:
+        want = {}
+        for k, name in enumerate("abcd"):
+            want[name] = [(f"{name}{i}", "x\ny" if k % 2 and i % 50 == 0 else f"v{i}") for i in range(200)]
+            with open(f"{tmp_root}/{name}.csv", "w", newline="") as fh:
+                csv.writer(fh).writerows([("id", "v"), *want[name]])
+        got = {}
+        for r in files.read_source(spark, [f"{tmp_root}/{n}.csv" for n in "abcd"]).orderBy("source_file_name", "_block", "_pos").collect():
+            got.setdefault(r["source_file_name"][0], []).append((r["id"], r["v"]))
+        assert got == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_an_open_quote_is_an_error(spark, tmp_root):
     with open(f"{tmp_root}/open.csv", "w") as fh:
         fh.write('id,c\n1,"never closed\n2,x\n')
@@ -113,7 +131,8 @@ def test_rows_are_numbered_where_they_are_read(spark, tmp_root):
     try:
         for multi_line in (True, False):
             rows, places = files.read_delivery(spark, [f"{tmp_root}/a.csv", f"{tmp_root}/b.csv"], multi_line=multi_line)
-            staged = stage_rows(files.stamp_hashes(rows, [(r[0], "h") for r in files.list_files(spark, [f"{tmp_root}/a.csv", f"{tmp_root}/b.csv"])]), places, base, dt.datetime(2024, 1, 1))
+            hashes = [(path, "h") for path, _ in files.list_files(spark, [f"{tmp_root}/a.csv", f"{tmp_root}/b.csv"])]
+            staged = stage_rows(rows, files.stamp_hashes(places, hashes), base, dt.datetime(2024, 1, 1))
             got = {r["transaction_id"]: r["id"] for r in staged.select("transaction_id", "id").collect()}
             assert got == {f"{n}{i}": 41 + 500 * k + i for k, n in enumerate("ab") for i in range(500)}
             plan = staged._jdf.queryExecution().executedPlan().toString()

@@ -83,7 +83,7 @@ def conform(df: DataFrame, na_tokens=NA_TOKENS, extra=(), drop_empty_before_defa
     """
     out = rename_columns(trim_headers(df))
     if na_tokens:
-        out = na_to_null(out, na_tokens)
+        out = na_to_null(out, na_tokens, [c for c in out.columns if c not in extra])
     out = customer_name(out)
     if drop_empty_before_defaults:
         present = [F.col(_q(c)) for c in CANONICAL_COLUMNS if c in out.columns]

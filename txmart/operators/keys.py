@@ -32,7 +32,8 @@ def next_key_base(existing: DataFrame, key_col: str, floor: int = 0) -> DataFram
 
 
 def number_by_place(df: DataFrame, key_col: str, places: DataFrame, base: DataFrame) -> DataFrame:
-    """Add ``key_col`` = base + place of the row in the order of file, piece and position.
+    """Add ``key_col`` = base + place of the row in the order of file, piece and position, and
+    what else ``places`` says of its piece.
 
     For rows that carry where they were scanned (``_source_file_path, _block, _pos``, dense from
     ``first`` within a piece): ``places`` has one row per piece with its number of ``records``,
@@ -41,7 +42,7 @@ def number_by_place(df: DataFrame, key_col: str, places: DataFrame, base: DataFr
     many pieces as the driver plans tasks for."""
     upto = Window.orderBy("_source_file_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
     shift = F.coalesce(F.sum("records").over(upto), F.lit(0)) - F.col("first")
-    offsets = places.select("_source_file_path", "_block", shift.alias("_shift")).crossJoin(F.broadcast(base.select(F.col("_base").cast("long"))))
+    offsets = places.withColumn("_shift", shift).drop("records", "first").crossJoin(F.broadcast(base.select(F.col("_base").cast("long"))))
     key = F.col("_base") + F.col("_shift") + F.col("_pos") + 1
     return df.join(F.broadcast(offsets), ["_source_file_path", "_block"]).withColumn(key_col, key).drop("_shift", "_base")
 

@@ -68,10 +68,10 @@ def _now() -> dt.datetime:
 
 
 def extract(spark: SparkSession, hashes: list, settings: Settings, fmt: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """S-1..S-4: rows of the files in ``hashes`` (path, hash) with file name and hash, and
-    where they were read."""
+    """S-1..S-4: rows of the files in ``hashes`` (path, hash) with file name, and where they
+    were read, with each file's hash."""
     rows, places = files.read_delivery(spark, [files.plain_path(p) for p, _ in hashes], fmt, settings.csv_multi_line)
-    return files.stamp_hashes(rows, hashes), places
+    return rows, files.stamp_hashes(places, hashes)
 
 
 def stage_files(spark: SparkSession, paths, wh: Warehouse, settings: Settings, now: dt.datetime, batch_id: str,

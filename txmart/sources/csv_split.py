@@ -5,10 +5,15 @@ function of the state it begins in (0: outside, 1: inside a quoted field): what
 in. Such functions compose, and a prefix of them is known from two sums: a line that ends
 in the same state whatever it began in is an *anchor*, any other either keeps or turns the
 state. So the state after a line is that of the last anchor, turned as often as lines have
-turned it since. One pass sums every split up to one row (its function and how many records
-it starts under either state), a prefix over these few rows gives every split its state and
-its first record number, and a second pass numbers the lines. Records of one line, nearly all,
-are parsed where they are; only the lines of longer ones are grouped by record number.
+turned it since.
+
+A first pass counts per split the lines that, begun outside, end inside, and the blank ones
+(one row a split, nothing else moves). A file without either has one record a line: its
+lines are numbered and parsed where they are read. For the other files the lines of a split
+are put in order, every split is summed up to one row (its function and how many records it
+starts under either state), a prefix over these rows gives each split its state and its first
+record number, and the lines are numbered; only those of a record of several lines are
+grouped by its number.
 
 A quote opens a field only at its start, as in the one-task reader; blank lines between
 records are skipped; the first record of a file is its header. A file that ends inside a
@@ -73,12 +78,17 @@ def plain_path(uri: str) -> str:
     return unquote(uri)
 
 
+def text_lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    """``path, block, pos, value`` of every line."""
+    return spark.read.option("lineSep", "\n").text([plain_path(f) for f in files]).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"), "value"
+    )
+
+
 def quoted_lines(spark: SparkSession, files: list[str]) -> DataFrame:
     """Lines with their place and function: ``from_out`` and ``from_in`` are the states they
     end in. A line without a quote keeps any state."""
-    lines = spark.read.option("lineSep", "\n").text([plain_path(f) for f in files]).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"), "value"
-    )
+    lines = text_lines(spark, files)
     quotes = F.col("value").contains('"')
     return lines.withColumns(
         {
@@ -127,11 +137,10 @@ def split_table(lines: DataFrame) -> DataFrame:
     return ordered.select("path", "block", F.col("out0").alias("state"), "records", (F.col("records") + F.col("begun")).alias("upto"), F.col("out").alias("ends"))
 
 
-def records(spark: SparkSession, files: list[str]) -> tuple[DataFrame, DataFrame]:
-    """``path, record, text`` of every record but the headers (number 1), and ``path, records``
-    (how many these are). Raises ``OpenQuote`` for a file whose last record does not end."""
+def ordered_records(spark: SparkSession, files: list[str]) -> tuple[DataFrame, DataFrame]:
+    """As ``records``, for files whose records may have several lines. Raises ``OpenQuote`` for a file
+    whose last record does not end."""
     lines = quoted_lines(spark, files)
-    ensure_checkpoint_dir(spark)
     splits = split_table(lines).checkpoint(eager=True)
     ends = splits.groupBy("path").agg(F.max_by("ends", "block").alias("ends")).where("ends = 1").orderBy("path").limit(10).collect()
     if ends:
@@ -153,15 +162,53 @@ def records(spark: SparkSession, files: list[str]) -> tuple[DataFrame, DataFrame
     return single.unionByName(longer).select("path", "record", F.regexp_replace("value", "\r$", "").alias("text")), counts
 
 
+def line_records(spark: SparkSession, files: list[str], splits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As ``records``, for files of one record a line; ``splits`` has one row per split with
+    its lines and their first position."""
+    before = F.sum("n").over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    shift = F.coalesce(before, F.lit(0)) - F.col("first") + 1
+    # as many rows as the scan has splits, which the driver plans one by one
+    placed = text_lines(spark, files).join(F.broadcast(splits.select("path", "block", shift.alias("shift"))), ["path", "block"])
+    found = placed.select("path", (F.col("pos") + F.col("shift")).alias("record"), F.regexp_replace("value", "\r$", "").alias("text")).where("record > 1")
+    return found, splits.groupBy("path").agg((F.sum("n") - 1).alias("records"))
+
+
+def counted_splits(spark: SparkSession, files: list[str]) -> DataFrame:
+    """One row per split: its lines ``n``, the ``first`` position and how many lines are
+    ``odd``: begun outside, they end inside a quoted field, or they are blank."""
+    ensure_checkpoint_dir(spark)
+    odd = ((F.col("from_out") == 1) | F.col("blank")).cast("long")
+    splits = quoted_lines(spark, files).groupBy("path", "block").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"), F.sum(odd).alias("odd"))
+    return splits.checkpoint(eager=True)
+
+
+def records(spark: SparkSession, files: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``path, record, text`` of every record but the headers (number 1), and ``path, records``
+    (how many these are)."""
+    splits = counted_splits(spark, files)
+    odd = {r["path"] for r in splits.groupBy("path").agg(F.sum("odd").alias("odd")).where("odd > 0").collect()}  # paths that the driver holds anyway
+    parts = []
+    if plain := [f for f in files if f not in odd]:
+        # positions hold within one list of files only, so a part of the files is counted again
+        parts.append(line_records(spark, plain, counted_splits(spark, plain) if odd else splits))
+    if odd:
+        parts.append(ordered_records(spark, [f for f in files if f in odd]))
+    found, counts = parts[0]
+    for more, n in parts[1:]:
+        found, counts = found.unionByName(more), counts.unionByName(n)
+    return found, counts
+
+
 def read_records(spark: SparkSession, files: list[str], schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """(rows, places) of CSV files with one header, read by splits. Rows carry provenance as in
     ``with_provenance``; a file is one piece here (``_block`` 0) and ``_pos`` numbers its
     records from 0. ``places``: see ``places_of``."""
     ddl = ", ".join("`" + f.name.replace("`", "``") + "` string" for f in schema)
     found, counts = records(spark, files)
-    parsed = found.withColumn("row", F.from_csv("text", ddl, DIALECT))
+    # a generator is evaluated once a row; fields taken out of the struct would each parse it again
+    parsed = found.select("path", "record", F.inline(F.array(F.from_csv("text", ddl, DIALECT))).alias(*[f"_{i}" for i in range(len(schema))]))
     rows = parsed.select(
-        *[F.col("row")[n].alias(n) for n in schema.names],
+        *[F.col(f"_{i}").alias(n) for i, n in enumerate(schema.names)],
         F.element_at(F.split("path", "/"), -1).alias("source_file_name"), F.col("path").alias("_source_file_path"), F.lit(0).cast("long").alias("_block"), (F.col("record") - 2).alias("_pos"),
     )
     zero = F.lit(0).cast("long")

@@ -186,11 +186,11 @@ def line_digests(spark: SparkSession, paths) -> DataFrame:
     return sums.select("path", F.concat(F.lit("lines:"), F.md5(F.concat_ws(":", "n", "a", "b").cast("binary"))).alias("source_file_hash"))
 
 
-def stamp_hashes(df: DataFrame, hashes: list) -> DataFrame:
-    """Join each row to its file's hash. ``hashes``: (path, hash) pairs the driver already
-    holds as its list of files to read, so the broadcast side is that list."""
-    pairs = df.sparkSession.createDataFrame(hashes, FILES_DDL).withColumnRenamed("path", "_source_file_path")
-    return df.join(F.broadcast(pairs), "_source_file_path", "left")
+def stamp_hashes(places: DataFrame, hashes: list) -> DataFrame:
+    """S-4: the hash of its file on every place (one row per piece of a file); rows get it with
+    their number. ``hashes``: (path, hash) pairs, the driver's list of files to read."""
+    pairs = places.sparkSession.createDataFrame(hashes, FILES_DDL).withColumnRenamed("path", "_source_file_path")
+    return places.join(F.broadcast(pairs), "_source_file_path", "left")
 
 
 def extraction_profile(df: DataFrame) -> DataFrame:

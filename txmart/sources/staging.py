@@ -39,19 +39,17 @@ def raw_payload(cols) -> "F.Column":
 def stage_rows(delivered: DataFrame, places: DataFrame, base: DataFrame, now, conform_input: bool = True) -> DataFrame:
     """S-6: conformed rows with provenance, ``raw_data`` JSON, flags and new ids.
 
-    ``delivered`` carries the file's columns plus ``source_file_name``, ``source_file_hash``,
-    ``_source_file_path``, ``_block`` and ``_pos``, ``places`` counts them per piece of a file
-    (see ``sources.files``). Ids follow ``base`` (one row ``_base``) in the order of (file path,
-    place in file); rows are numbered where they are read.
+    ``delivered`` carries the file's columns plus ``source_file_name``, ``_source_file_path``,
+    ``_block`` and ``_pos``; ``places`` has one row per piece of a file with its rows and
+    ``source_file_hash`` (see ``sources.files``). Ids follow ``base`` (one row ``_base``) in the
+    order of (file path, place in file); rows are numbered where they are read.
     """
-    extra = ("source_file_name", "source_file_hash", "_source_file_path", "_block", "_pos")
+    extra = ("source_file_name", "_source_file_path", "_block", "_pos")
     rows = conform(delivered, extra=extra) if conform_input else delivered
+    rows = number_by_place(rows, "id", places, base).drop("_source_file_path", "_block", "_pos")
     payload = raw_payload((*CANONICAL_COLUMNS, "source_file_name", "source_file_hash"))
     ts = F.lit(now).cast("timestamp_ntz")
-    rows = rows.withColumns(
-        {"raw_data": payload, "is_processed": F.lit(False), "processed_at": F.lit(None).cast("timestamp_ntz"), "created_at": ts}
-    )
-    return number_by_place(rows, "id", places, base).drop("_source_file_path", "_block", "_pos")
+    return rows.withColumns({"raw_data": payload, "is_processed": F.lit(False), "processed_at": F.lit(None).cast("timestamp_ntz"), "created_at": ts})
 
 
 def persist_cleaned(cleaned_batch: DataFrame, existing: DataFrame) -> DataFrame:
