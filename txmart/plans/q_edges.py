@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from txmart import schemas
 from txmart.functions.text import null_if_na, trim_ws
 from txmart.functions.values import batch_id_of, rate_pct
+from txmart.operators import bitmaps
 from txmart.operators import clean as cl
 from txmart.operators import dims as dm
 from txmart.operators import fact as fc
@@ -339,6 +340,47 @@ def _csv_dialect(spark, sf_dir):
     return files.read_source(spark, [f"{root}/{k}" for k in range(3)], "csv").select("id", "note", "city")
 
 
+@register(
+    "csv_blank_lines",
+    """
+    select cast(o_orderkey as varchar) as id, case when o_orderkey % 7 = 0 then concat('two', chr(10), 'lines') else o_orderpriority end as note,
+      concat('part', cast(o_orderkey % 8 as varchar)) as part
+    from orders
+    """,
+)
+def _csv_blank_lines(spark, sf_dir):
+    """S-1, S-3: files that begin with blank lines and have more between their rows, beside a
+    file of a header alone and one of blank lines alone: every row of the others is read."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", (F.col("o_orderkey") % 8).alias("k"))
+    note = F.when(F.col("o_orderkey") % 7 == 0, F.lit('"two\nlines"')).otherwise(F.col("o_orderpriority"))
+    gap = F.when(F.col("o_orderkey") % 5 == 0, F.lit("\n  ")).otherwise(F.lit(""))
+    line = F.concat(F.col("o_orderkey").cast("string"), F.lit(","), note, F.lit(",part"), F.col("k").cast("string"), gap)
+    rows = o.select("k", F.col("o_orderkey").alias("at"), line.alias("value"))
+    heads = spark.range(9).select(F.col("id").alias("k"), F.lit(-1).cast("long").alias("at"), F.lit("\n \nid,note,part").alias("value"))
+    blank = spark.range(1).select(F.lit(9).cast("long").alias("k"), F.lit(0).cast("long").alias("at"), F.lit("\n  \n").alias("value"))
+    root = scratch_path(spark, "blank")
+    lines = rows.unionByName(heads).unionByName(blank)
+    lines.repartition(10, "k").sortWithinPartitions("k", "at").select("k", "value").write.partitionBy("k").text(root)
+    return files.read_source(spark, [f"{root}/k={k}" for k in range(10)], "csv").select("id", "note", "part")
+
+
+@register(
+    "distinct_by_year",
+    """
+    select year(o_orderdate) as year, count(distinct o_custkey) as customers, (select count(distinct o_custkey) from orders) as all_customers
+    from orders group by 1
+    """,
+)
+def _distinct_by_year(spark, sf_dir):
+    """G-2: customer sets stored per month, united per year and over all, counted without the
+    facts."""
+    o = _t(spark, sf_dir, "orders")
+    monthly = bitmaps.key_sets(o, {"year": F.year("o_orderdate"), "month": F.month("o_orderdate")}, "o_custkey")
+    yearly = bitmaps.cardinality(bitmaps.unite(monthly, ["year"]), ["year"], "customers")
+    every = bitmaps.cardinality(bitmaps.unite(monthly, []), [], "all_customers")
+    return yearly.crossJoin(F.broadcast(every))
+
+
 @register(
     "calendar_range",
     """
