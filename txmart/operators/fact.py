@@ -84,6 +84,9 @@ def new_facts(
     existing: DataFrame,
     batch_id,
     now=None,
+    known: DataFrame | None = None,
+    buckets: int | None = None,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """D-9: the fact rows one load appends.
 
@@ -91,14 +94,25 @@ def new_facts(
     ``source_row_id`` (the source database leaves this order unspecified; ours is fixed)
     -> rows whose ``transaction_id`` is already in the fact are dropped (``ON CONFLICT DO
     NOTHING``) -> ``transaction_key`` continues from the fact's maximum.
+
+    ``known`` (the fact's ids clustered into ``buckets`` buckets, ``sources.ledger``) and ``base``
+    (one row ``_base``, the greatest key) spare the scans of ``existing``.
     """
     resolved = resolve_keys(not_loaded(cleaned), customers, products, time, branches)
     rows = keep_first(fact_rows(resolved, batch_id, now), ["transaction_id"], "source_row_id")
-    rows = rows.join(existing.select("transaction_id"), "transaction_id", "left_anti").drop("source_row_id")
-    keyed = assign_keys(rows, "transaction_key", ["transaction_id"], base=next_key_base(existing, "transaction_key"))
+    rows = absent(rows, existing.select("transaction_id") if known is None else known, buckets).drop("source_row_id")
+    keyed = assign_keys(rows, "transaction_key", ["transaction_id"], base=next_key_base(existing, "transaction_key") if base is None else base)
     return keyed.select(*[F.col(f.name).cast(f.dataType) for f in FACT.fields])
 
 
+def absent(rows: DataFrame, known: DataFrame, buckets: int | None = None) -> DataFrame:
+    """J-5: the rows whose ``transaction_id`` is not in ``known``. With ``buckets``, ``known`` is
+    clustered so, and only ``rows`` (one per id by now, so no key is hot) are shuffled."""
+    if buckets:
+        rows = rows.repartition(buckets, "transaction_id")
+    return rows.join(known, "transaction_id", "left_anti")
+
+
 def mark_loaded(cleaned: DataFrame, fact: DataFrame, now=None) -> DataFrame:
     """S-10: not-yet-loaded cleaned rows whose ``transaction_id`` is now in the fact are
     flagged loaded (rows that lost the conflict too). A left join on the fact's distinct

@@ -49,9 +49,19 @@ def profile(df: DataFrame, table: str, settings: Settings | None = None, checks=
     ``>= min_completeness_pct`` else FAIL. Q-2: mean over columns of the column's null %;
     an empty table counts 100 % per column; PASS when ``<= max_null_pct`` else FAIL; the
     description carries the per-column percentages."""
+    return profile_of_counts(null_counts(df), df.columns, table, settings, checks)
+
+
+def null_counts(df: DataFrame) -> DataFrame:
+    """One row: ``_rows`` and the nulls ``_n0, _n1, ...`` of each column."""
+    return df.agg(F.count("*").alias("_rows"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_n{i}") for i, c in enumerate(df.columns)])
+
+
+def profile_of_counts(counts: DataFrame, columns, table: str, settings: Settings | None = None, checks=("COMPLETENESS_PCT", "NULL_PERCENTAGE")) -> DataFrame:
+    """:func:`profile` from the counts of :func:`null_counts`, or from those that merged states
+    give (``states.merged_counts``)."""
     s = settings or Settings()
-    k = len(df.columns)
-    counts = df.agg(F.count("*").alias("_rows"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_n{i}") for i, c in enumerate(df.columns)])
+    k = len(columns)
     rows = F.col("_rows")
     cells = rows * F.lit(k)
     nulls = sum((F.col(f"_n{i}") for i in range(k)), F.lit(0))
@@ -59,7 +69,7 @@ def profile(df: DataFrame, table: str, settings: Settings | None = None, checks=
     per_col = [F.when(rows > 0, F.col(f"_n{i}").cast("double") / rows * 100.0).otherwise(F.lit(100.0)) for i in range(k)]
     mean = (sum(per_col, F.lit(0.0)) / F.lit(k)) if k else F.lit(0.0)
     text = F.to_json(F.struct(F.round(full, 2).alias("value"), F.lit(s.min_completeness_pct).alias("threshold"), rows.alias("record_count")))
-    details = F.to_json(F.map_from_arrays(F.array(*[F.lit(c) for c in df.columns]), F.array(*per_col))) if k else F.lit("{}")
+    details = F.to_json(F.map_from_arrays(F.array(*[F.lit(c) for c in columns]), F.array(*per_col))) if k else F.lit("{}")
     found = {
         "COMPLETENESS_PCT": (F.round(full, 2), F.when(full >= s.min_completeness_pct, "PASS").otherwise("FAIL"), text),
         "NULL_PERCENTAGE": (F.round(mean, 2), F.when(mean <= s.max_null_pct, "PASS").otherwise("FAIL"), details),
@@ -202,17 +212,24 @@ def mart_checks(
     dims: dict | None = None,
     settings: Settings | None = None,
     sample_rows: int | None = None,
+    counts: dict | None = None,
 ) -> list:
     """Q-7 without a frame, as ``(table, check, build)``: Q-1..Q-3 on the fact (key
     ``transaction_id``) and the cleaned table (the dedupe key); plus Q-4 on the fact and Q-5
     fact -> dimensions when ``dims`` is given (the source suite documents but never calls
-    those two). ``build`` returns the metric rows."""
+    those two). ``build`` returns the metric rows. ``counts`` (table -> the row of
+    :func:`null_counts` of its check columns) spares Q-1 and Q-2 their scans; a sample has none."""
     s = settings or Settings()
     f, c = fact, cleaned
+    known = {} if sample_rows else counts or {}
     if sample_rows:
         f, c = sample_newest(fact, sample_rows, tie_break="transaction_key"), sample_newest(cleaned, sample_rows, tie_break="source_row_id")
     f, c = f.select(*FACT_CHECK_COLUMNS), c.select(*CLEANED_CHECK_COLUMNS)
-    checks = [("fact_transactions", "PROFILE", lambda: profile(f, "fact_transactions", s)), ("cleaned_banking_data", "PROFILE", lambda: profile(c, "cleaned_banking_data", s))]
+
+    def profiled(df: DataFrame, table: str) -> DataFrame:
+        return profile_of_counts(known[table] if table in known else null_counts(df), df.columns, table, s)
+
+    checks = [("fact_transactions", "PROFILE", lambda: profiled(f, "fact_transactions")), ("cleaned_banking_data", "PROFILE", lambda: profiled(c, "cleaned_banking_data"))]
     if s.duplicate_check_enabled:
         checks.append(("fact_transactions", "DUPLICATES", lambda: duplicates(f, "fact_transactions", ["transaction_id"])))
         checks.append(("cleaned_banking_data", "DUPLICATES", lambda: duplicates(c, "cleaned_banking_data", s.dedupe_keys)))

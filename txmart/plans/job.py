@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txmart import schemas
-from txmart.operators import audit, dims
+from txmart.operators import audit, dims, states
 from txmart.operators import quality as q
 from txmart.operators.clean import counts_of_tagged, standardise, survivors_to_cleaned
 from txmart.operators.fact import new_facts, take_unprocessed, watermark, with_run_flags
@@ -27,6 +27,7 @@ from txmart.plans.mart import cleaned_layer
 from txmart.session import ensure_checkpoint_dir
 from txmart.settings import Settings
 from txmart.sources import files
+from txmart.sources.ledger import IdLedger
 from txmart.sources.staging import delivered_file_rows, new_files, persist_cleaned, stage_rows
 from txmart.sources.warehouse import Warehouse
 
@@ -34,6 +35,9 @@ RAW, CLEANED = "staging.raw_banking_data", "staging.cleaned_banking_data"
 CUST, PROD, BRAN, TIME, FACT = (f"mart.{t}" for t in ("dim_customers", "dim_products", "dim_branches", "dim_time", "fact_transactions"))
 METRICS, RUNLOG = "audit.data_quality_metrics", "audit.etl_execution_log"
 MARKS, FILES = "staging.run_marks", "staging.delivered_files"
+STATES = "audit.part_states"
+#: append-only tables whose parts have stored states: check columns, surrogate key
+STATE_OF = {FACT: (q.FACT_CHECK_COLUMNS, "transaction_key"), CLEANED: (q.CLEANED_CHECK_COLUMNS, None)}
 
 
 @dataclass
@@ -169,18 +173,25 @@ def transform(spark: SparkSession, wh: Warehouse, s: Settings, now: dt.datetime,
         # D-9; then S-9/S-10 as one run mark: every row up to the cutoff is processed and
         # every cleaned row up to it is loaded (or lost to an existing transaction id)
         dim = lambda t: wh.read(t, *dim_parts)
-        fact_part = wh.write(FACT, new_facts(fresh, dim(CUST), dim(PROD), dim(TIME), dim(BRAN), wh.read(FACT), batch_id, now))
-        loaded = wh.read(FACT, fact_part).where(F.col("etl_batch_id") == batch_id).count()
+        ledger = IdLedger(wh)
+        base = next_key_base(part_states(wh, FACT), "max_key")
+        fact_part = wh.write(FACT, new_facts(fresh, dim(CUST), dim(PROD), dim(TIME), dim(BRAN), wh.read(FACT), batch_id, now,
+                                             ledger.ids(), ledger.buckets, base))
         mark = spark.createDataFrame([(batch_id, int(cutoff), int(cutoff), now)], schemas.RUN_MARKS)
-        changes += [fact_part, wh.write(MARKS, mark)]
+        changes += [fact_part, *ledger.cover(fact_part), wh.write(MARKS, mark)]
         lap("fact")
 
     # Q-1..Q-8 over the whole tables as they will be after the commit: a run without new rows
     # judges what is stored. A check that fails is a metric with status ERROR.
     now_read = lambda t: wh.read(t, *changes)
+    new_states = [change for t in STATE_OF for change in write_states(wh, t, *changes)]
+    changes += new_states
+    counts = {t.split(".")[1]: states.merged_counts(part_states(wh, t, *changes), STATE_OF[t][0]) for t in STATE_OF}
+    if cutoff is not None:
+        loaded = part_states(wh, FACT, *changes).where(F.col("part") == fact_part.part).agg(F.sum("row_count")).first()[0]
     smoke = q.smoke_checks({t: (f"SMOKE_COUNT_{n}", now_read(t)) for t, n in ((RAW, "RAW"), (CLEANED, "CLEANED"), (FACT, "FACT"))})
     suite = q.mart_checks(now_read(FACT), now_read(CLEANED), {"customers": now_read(CUST), "products": now_read(PROD),
-                                                              "time": now_read(TIME), "branches": now_read(BRAN)}, s)
+                                                              "time": now_read(TIME), "branches": now_read(BRAN)}, s, counts=counts)
     metrics = q.run_checks(spark, [*smoke, *suite])
     overall = q.overall_status(metrics).first()  # smoke rows are always PASS: same fold
     changes.append(wh.write(METRICS, audit.metric_rows(metrics, wh.read(METRICS), batch_id, now)))
@@ -192,6 +203,29 @@ def transform(spark: SparkSession, wh: Warehouse, s: Settings, now: dt.datetime,
     return summary
 
 
+def write_states(wh: Warehouse, table: str, *pending) -> list:
+    """Store the states of those parts of ``table`` (committed, and ``pending``) that have none,
+    which is the new part alone on a usual night; the changes to commit."""
+    columns, key = STATE_OF[table]
+    have = {r["part"] for r in states.usable(wh.read(STATES, *pending), table, columns).select("part").collect()}  # one name per run
+    missing = [p for p in wh.parts(table, *pending) if p not in have]
+    if not missing:
+        return []
+    part = F.regexp_extract(F.col("_metadata.file_path"), "/([^/]+)/[^/]+$", 1).alias("part")
+    rows = wh.read_parts(table, missing, *pending).select(part, *columns, *([key] if key else []))
+    found = states.part_states(rows, table, columns, key)
+    return [wh.write(STATES, states.with_empty_parts(found, table, missing, columns))]
+
+
+def part_states(wh: Warehouse, table: str, *pending) -> DataFrame:
+    """The stored states of the parts of ``table``, one row each; states that are missing are
+    written and committed first unless something is pending."""
+    if not pending:
+        wh.commit(*write_states(wh, table))
+    stored = states.usable(wh.read(STATES, *pending), table, STATE_OF[table][0])
+    return stored.where(F.col("part").isin(wh.parts(table, *pending)))
+
+
 def raw_with_flags(wh: Warehouse) -> DataFrame:
     """``staging.raw_banking_data`` with ``is_processed``/``processed_at`` from the run marks."""
     return with_run_flags(wh.read(RAW), wh.read(MARKS), "id", "processed_through", "is_processed", "processed_at")

@@ -173,6 +173,15 @@ DELIVERED_FILES = _struct(
 # What the file stream has seen land (one row per file and micro-batch; replays repeat rows).
 LANDED_FILES = _struct(("path", S, False), ("landed_at", TS, False))
 
+# What the nightly checks know of a part of an append-only table (see operators.states).
+PART_STATES = _struct(
+    ("table_name", S, False),
+    ("part", S, False),
+    ("row_count", L, False),
+    ("null_counts", T.MapType(S, L), False),
+    ("max_key", L, True),
+)
+
 # Table name -> schema, in the layers they live in.
 TABLES = {
     "staging.raw_banking_data": RAW,
@@ -187,4 +196,5 @@ TABLES = {
     "mart.fact_transactions": FACT,
     "audit.data_quality_metrics": QUALITY_METRICS,
     "audit.etl_execution_log": EXECUTION_LOG,
+    "audit.part_states": PART_STATES,
 }

@@ -101,6 +101,20 @@ class Warehouse:
             return self.spark.createDataFrame([], schemas.TABLES[table])
         return self.spark.read.schema(schemas.TABLES[table]).parquet(*paths)
 
+    def parts(self, table: str, *pending: Change) -> list[str]:
+        """Names of the parts that :meth:`read` reads (a run adds one to each table)."""
+        version, parts = self._load().get(table, (None, []))
+        for c in pending:
+            if c.table == table:
+                parts = [c.part] if c.version != version else [*parts, c.part]
+        return list(parts)
+
+    def read_parts(self, table: str, parts, *pending: Change) -> DataFrame:
+        """The rows of some parts of what :meth:`read` reads."""
+        version = max([c.version for c in pending if c.table == table], default=self.current_version(table))
+        folder = self.version_path(table, version)
+        return self.spark.read.schema(schemas.TABLES[table]).parquet(*[f"{folder}/{p}" for p in parts])
+
     def write(self, table: str, df: DataFrame, replace: bool = False) -> Change:
         """Write ``df`` as a part of the current (or, with ``replace``, the next) version. It
         is invisible until committed; a part whose step fails is never read."""
