@@ -85,7 +85,8 @@ def test_old_parts_are_not_scanned_for_q1_q2(spark, tmp_root, monkeypatch):
             return read(self, table, parts, *pending)
 
         monkeypatch.setattr(Warehouse, "read_parts", watched)
-        job.run(spark, [_delivery(tmp_root, b, ids, f"{len(ids)}.25")], root, now=NOW, batch_id=b)
+        s = job.run(spark, [_delivery(tmp_root, b, ids, f"{len(ids)}.25")], root, now=NOW, batch_id=b)
+        assert (s.rows_loaded, s.overall_status) == (30 if b == "B1" else 0, "PASS" if b == "B1" else s.overall_status)
         monkeypatch.setattr(Warehouse, "read_parts", read)
         # the new part alone: ids for the ledger, states of fact and cleaned rows
         assert sorted(seen) == sorted([(job.FACT, 1), (job.FACT, 1), (job.CLEANED, 1)])
@@ -102,6 +103,17 @@ def test_old_parts_are_not_scanned_for_q1_q2(spark, tmp_root, monkeypatch):
     assert sorted(r["row_count"] for r in job.part_states(wh, job.FACT).collect()) == [0, 30]
 
 
+def test_two_pending_parts_of_a_new_table_are_both_read(spark, tmp_root):
+    wh = Warehouse(spark, f"{tmp_root}/wh")
+    rows = lambda n: spark.range(n).selectExpr("cast(id as string) as path", "timestamp_ntz'2024-01-01' as landed_at")
+    changes = [wh.write("staging.landed_files", rows(n)) for n in (3, 4)]
+    assert wh.read("staging.landed_files", *changes).count() == 7 and wh.read("staging.landed_files").count() == 0
+    wh.commit(*changes)
+    assert wh.read("staging.landed_files").count() == 7
+    replaced = wh.write("staging.landed_files", rows(2), replace=True)
+    assert wh.read("staging.landed_files", replaced).count() == 2
+
+
 def test_states_count_nulls_ties_and_new_columns(spark):
     df = spark.createDataFrame([("p", 1, None, "a"), ("p", None, None, None), ("p", 1, "x", "a"), ("q", None, None, None)], "part string, a int, `b.c` string, k string")
     cols = ("a", "b.c")

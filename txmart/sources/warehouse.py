@@ -92,26 +92,20 @@ class Warehouse:
     # -------------------------------------------------------------- read / write
     def read(self, table: str, *pending: Change) -> DataFrame:
         """The committed rows of a table, with uncommitted ``pending`` changes applied."""
-        version, parts = self._load().get(table, (None, []))
-        paths = [f"{self.version_path(table, version)}/{p}" for p in parts]
-        for c in pending:
-            if c.table == table:
-                paths = [self._part_path(c)] if c.version != version else [*paths, self._part_path(c)]
-        if not paths:
-            return self.spark.createDataFrame([], schemas.TABLES[table])
-        return self.spark.read.schema(schemas.TABLES[table]).parquet(*paths)
+        parts = self.parts(table, *pending)
+        return self.read_parts(table, parts, *pending) if parts else self.spark.createDataFrame([], schemas.TABLES[table])
 
     def parts(self, table: str, *pending: Change) -> list[str]:
         """Names of the parts that :meth:`read` reads (a run adds one to each table)."""
         version, parts = self._load().get(table, (None, []))
         for c in pending:
             if c.table == table:
-                parts = [c.part] if c.version != version else [*parts, c.part]
+                version, parts = c.version, [c.part] if c.version != version else [*parts, c.part]
         return list(parts)
 
     def read_parts(self, table: str, parts, *pending: Change) -> DataFrame:
         """The rows of some parts of what :meth:`read` reads."""
-        version = max([c.version for c in pending if c.table == table], default=self.current_version(table))
+        version = max([self.current_version(table) or 0, *[c.version for c in pending if c.table == table]])
         folder = self.version_path(table, version)
         return self.spark.read.schema(schemas.TABLES[table]).parquet(*[f"{folder}/{p}" for p in parts])
 
