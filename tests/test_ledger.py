@@ -78,18 +78,17 @@ def test_ledger_heals_and_ignores_what_is_not_committed(spark, tmp_root):
 def test_old_parts_are_not_scanned_for_q1_q2(spark, tmp_root, monkeypatch):
     root = f"{tmp_root}/wh"
     for b, ids in (("B1", range(30)), ("B2", range(20, 30))):
-        read, seen = Warehouse.read_parts, []
+        make, seen = states.part_states, []
 
-        def watched(self, table, parts, *pending):
-            seen.append((table, len(parts)))
-            return read(self, table, parts, *pending)
+        def watched(df, table, *rest):
+            seen.append((table, len({f.rsplit("/", 1)[0] for f in df.inputFiles()})))
+            return make(df, table, *rest)
 
-        monkeypatch.setattr(Warehouse, "read_parts", watched)
+        monkeypatch.setattr(states, "part_states", watched)
         s = job.run(spark, [_delivery(tmp_root, b, ids, f"{len(ids)}.25")], root, now=NOW, batch_id=b)
         assert (s.rows_loaded, s.overall_status) == (30 if b == "B1" else 0, "PASS" if b == "B1" else s.overall_status)
-        monkeypatch.setattr(Warehouse, "read_parts", read)
-        # the new part alone: ids for the ledger, states of fact and cleaned rows
-        assert sorted(seen) == sorted([(job.FACT, 1), (job.FACT, 1), (job.CLEANED, 1)])
+        monkeypatch.setattr(states, "part_states", make)
+        assert sorted(seen) == sorted([(job.FACT, 1), (job.CLEANED, 1)])  # the new part alone
     wh = Warehouse(spark, root)
     for table, (columns, key) in job.STATE_OF.items():
         stored = job.part_states(wh, table)
