@@ -57,3 +57,13 @@ def test_smoke_counts(spark):
 def test_sample_newest_is_top_k(spark):
     df = spark.range(100).withColumn("created_at", F.col("id"))
     assert [r["id"] for r in q.sample_newest(df, 3).collect()] == [99, 98, 97]
+
+
+def test_checks_run_side_by_side_in_their_order_and_a_failing_one_is_a_row(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "a int, b string")
+    checks = [(f"t{i}", "N", lambda i=i: q.null_percentages(df, f"t{i}")) for i in range(6)]
+    checks.insert(3, ("broken", "N", lambda: q.null_percentages(df.select("absent"), "broken")))
+    rows = q.run_checks(spark, checks).collect()
+    assert [r["table_name"] for r in rows] == ["t0", "t1", "t2", "broken", "t3", "t4", "t5"]
+    assert rows[3]["quality_status"] == "ERROR" and {r["metric_value"] for r in rows if r["table_name"] != "broken"} == {25.0}
+    assert q.run_checks(spark, []).count() == 0

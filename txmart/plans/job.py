@@ -27,6 +27,7 @@ from txmart.plans.mart import cleaned_layer
 from txmart.session import ensure_checkpoint_dir
 from txmart.settings import Settings
 from txmart.sources import files
+from txmart.sources.by_month import FactByMonth
 from txmart.sources.ledger import IdLedger
 from txmart.sources.staging import delivered_file_rows, new_files, persist_cleaned, stage_rows
 from txmart.sources.warehouse import Warehouse
@@ -246,6 +247,15 @@ def read_table(spark: SparkSession, warehouse_root: str, table: str) -> DataFram
     return wh.read(table)
 
 
+def facts_of(spark: SparkSession, warehouse_root: str, days) -> DataFrame:
+    """G-5: the facts of the days for which ``days`` (a condition on ``mart.dim_time``) holds,
+    from the files of their months alone; loads not yet laid out by month are added first."""
+    wh = Warehouse(spark, warehouse_root)
+    by_month = FactByMonth(wh)
+    by_month.cover()
+    return by_month.of(wh.read(TIME).where(days))
+
+
 def table_counts(spark: SparkSession, warehouse_root: str) -> DataFrame:
     """D-10 over the warehouse: rows per mart table."""
     wh = Warehouse(spark, warehouse_root)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from txmart import schemas
@@ -17,6 +18,7 @@ from txmart.operators import clean as cl
 from txmart.operators import dims as dm
 from txmart.operators import fact as fc
 from txmart.operators import quality as q
+from txmart.operators.conform import conform
 from txmart.plans import fixtures as fx
 from txmart.plans import job, reports
 from txmart.plans import q_reports as qr
@@ -24,10 +26,10 @@ from txmart.plans.mart import build_mart, seeded_mart
 from txmart.plans.oracle_sql import FIRST_LOAD, SEED_CTES, cleaned_ctes, mart_ctes, one_load_sql
 from txmart.plans.q_job import land_deliveries
 from txmart.plans.q_mart import CUSTOMER_COLS, FACT_COLS, FACT_SQL, NOW1, NOW2, TIME_COLS, _cols, one_load
-from txmart.plans.q_quality import METRIC, _completeness_sql, _dups_sql, _null_pct_sql
+from txmart.plans.q_quality import METRIC, RAW, _completeness_sql, _dups_sql, _null_pct_sql
 from txmart.plans.registry import _t, register
 from txmart.session import scratch_path
-from txmart.settings import NA_TOKENS
+from txmart.settings import NA_TOKENS, Settings
 from txmart.sources import files
 from txmart.sources import tables as tb
 from txmart.sources.staging import new_files, persist_cleaned
@@ -497,3 +499,144 @@ def _reference_members(spark, sf_dir):
     m = one_load(spark, sf_dir)
     products, _ = dm.add_reference_members(spark, m.products, m.branches, NOW1)
     return products.select("product_key", "product_id", "product_type", "product_name", "product_category")
+
+
+# ---------------------------------------------------------------- order, layout, settings, health
+
+
+def _filled(df, schema):
+    """``df`` in the shape of a mart table, absent columns null."""
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def _days_sql() -> str:
+    from txmart.plans.registry import ORACLE_SQL
+
+    return ORACLE_SQL["monthly_trend"].replace("from orders", "from orders where quarter(o_orderdate) = 3 and day(o_orderdate) <= 20")
+
+
+@register("trend_of_days", _days_sql())
+def _trend_of_days(spark, sf_dir):
+    """A-3, G-5 over the days picked from the calendar, from facts laid out by month: two
+    loads, the second one added when the report is asked for."""
+    wh = Warehouse(spark, scratch_path(spark, "month"))
+    orders = _t(spark, sf_dir, "orders")
+    days = dm.time_rows(orders.select(F.to_date("o_orderdate").alias("date")).distinct())
+    wh.append(job.TIME, _filled(days, schemas.DIM_TIME))
+    for load in range(2):
+        wh.append(job.FACT, _filled(tb.orders_as_fact(orders.where(F.col("o_orderkey") % 2 == load)), schemas.FACT))
+        if not load:
+            job.FactByMonth(wh).cover()
+    return reports.monthly_trend(job.facts_of(spark, wh.root, "quarter = 3 and day <= 20"))
+
+
+_ORDERED = {  # report -> its key as text, its order
+    "customer_summary": ("cast(customer_key as varchar)", "total_amount desc nulls first, customer_key"),
+    "monthly_trend": ("cast(month as varchar)", "month desc nulls first"),
+    "quality_trend": ("concat(cast(check_date as varchar), ' ', quality_status)", "check_date desc nulls first, quality_status"),
+    "run_performance": ("cast(run_date as varchar)", "run_date desc nulls first"),
+}
+
+
+def _order_sql() -> str:
+    from txmart.plans.registry import ORACLE_SQL
+
+    return " union all ".join(
+        f"select '{name}' as report, row_number() over (order by {order}) as position, {key} as member from ({ORACLE_SQL[name]})"
+        for name, (key, order) in _ORDERED.items()
+    )
+
+
+@register("report_order", _order_sql())
+def _report_order(spark, sf_dir):
+    """L-2: the place of each row in reports that have few rows (top 20, months, days)."""
+    orders, events = _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "events")
+    built = {
+        "customer_summary": reports.customer_summary(tb.customers_as_dim(_t(spark, sf_dir, "customer")), tb.orders_as_fact(orders)),
+        "monthly_trend": reports.monthly_trend(tb.orders_as_fact(orders)),
+        "quality_trend": reports.quality_trend(tb.events_as_quality_metrics(events), as_of=qr.AS_OF),
+        "run_performance": reports.run_performance(tb.events_as_run_log(events), as_of=qr.AS_OF),
+    }
+    out = None
+    for name, rows in built.items():
+        member = F.expr(_ORDERED[name][0].replace("varchar", "string"))
+        came = rows.select(member.alias("member"), F.monotonically_increasing_id().alias("_at"))  # ids follow the order of rows
+        placed = came.select(F.lit(name).alias("report"), F.row_number().over(Window.orderBy("_at")).cast("long").alias("position"), "member")
+        out = placed if out is None else out.unionByName(placed)
+    return out
+
+
+_HEALTH = ("staging.raw_banking_data", "staging.cleaned_banking_data", "mart.fact_transactions", "mart.dim_customers", "audit.data_quality_metrics")
+
+
+@register(
+    "health_steps",
+    " union all ".join(
+        f"select cast({i} as bigint) as step, '{t}' as table_name, count(*) as row_count, {str(i == len(_HEALTH) - 1).lower()} as healthy from {src}"
+        for i, (t, src) in enumerate(zip(_HEALTH, ("orders", "orders", "orders", "customer", "events")))
+    ),
+)
+def _health_steps(spark, sf_dir):
+    """S-14, S-15: the required tables are stored one by one; the mart is healthy with the last."""
+    orders, events = _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "events")
+    ids = orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("source_row_id"))
+    rows = (ids, ids, tb.orders_as_fact(orders), tb.customers_as_dim(_t(spark, sf_dir, "customer")), tb.events_as_quality_metrics(events))
+    wh = Warehouse(spark, scratch_path(spark, "health"))
+    seen = []
+    for step, (table, df) in enumerate(zip(_HEALTH, rows)):
+        wh.append(table, _filled(df, schemas.TABLES[table]))
+        again = Warehouse(spark, wh.root)
+        seen.append((step, table, again.row_count(table), again.health_check()))
+    return spark.createDataFrame(seen, "step long, table_name string, row_count long, healthy boolean")
+
+
+@register(
+    "empty_rows",
+    """
+    with o as (select o_orderkey as id, case when o_orderkey % 3 <> 0 then cast(o_custkey as varchar) end as customer_id,
+      case when o_orderkey % 3 <> 0 and o_orderkey % 2 = 0 then o_orderstatus end as account_type from orders),
+    k as (select id, customer_id, account_type, coalesce(account_type, 'UNCLASSIFIED') as product_type, 'UNKNOWN' as account_status, 'GENERAL' as customer_segment from o)
+    select 'after defaults' as dropped, * from k union all select 'before defaults', * from k where customer_id is not null or account_type is not null
+    """,
+)
+def _empty_rows(spark, sf_dir):
+    """P-6, P-3, P-4: rows of NA tokens alone go when they are looked for before the defaults are
+    filled in, and never afterwards."""
+    k = F.col("o_orderkey")
+    token = F.get(F.array(*[F.lit(t) for t in NA_TOKENS]), (k % len(NA_TOKENS)).cast("int"))
+    delivered = _t(spark, sf_dir, "orders").select(
+        k.alias("id"), F.when(k % 3 == 0, token).otherwise(F.col("o_custkey").cast("string")).alias(" Customer ID"),
+        F.when((k % 3 == 0) | (k % 2 == 1), token).otherwise(F.col("o_orderstatus")).alias("Account Type "),
+    )
+    cols = ("id", "customer_id", "account_type", "product_type", "account_status", "customer_segment")
+    kept = lambda early: conform(delivered, extra=("id",), drop_empty_before_defaults=early).select(
+        F.lit("before defaults" if early else "after defaults").alias("dropped"), *cols)
+    return kept(False).unionByName(kept(True))
+
+
+_RUN_SETTINGS = {  # least completeness, most nulls, duplicates checked
+    "default": (95.0, 5.0, True), "strict": (100.0, 0.0, False), "lax": (0.0, 100.0, True),
+}
+
+
+def _settings_sql() -> str:
+    parts = []
+    for name, (full, nulls, dups) in _RUN_SETTINGS.items():
+        suite = [_completeness_sql("raw_banking_data", "raw", RAW[1:]).replace(">= 95 ", f">= {full} "),
+                 _null_pct_sql("raw_banking_data", "raw", RAW[1:]).replace("<= 5 ", f"<= {nulls} ")]
+        if dups:
+            suite.append(_dups_sql("raw_banking_data", "raw", ["customer_id", "transaction_id", "transaction_date"]))
+        parts.append(f"select '{name}' as settings, * from ({' union all '.join(suite)})")
+    return f"with raw as ({fx.F_RAW_SQL}) " + " union all ".join(parts)
+
+
+@register("run_settings", _settings_sql())
+def _run_settings(spark, sf_dir):
+    """R-2: limits and switches of the settings decide what the suite says of the same rows."""
+    raw = fx.raw_transactions(spark, sf_dir).drop("id")
+    out = None
+    for name, (full, nulls, dups) in _RUN_SETTINGS.items():
+        suite = q.raw_suite(raw, Settings(min_completeness_pct=full, max_null_pct=nulls, duplicate_check_enabled=dups))
+        rows = suite.select(F.lit(name).alias("settings"), *METRIC)
+        out = rows if out is None else out.unionByName(rows)
+    return out

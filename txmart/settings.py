@@ -101,8 +101,8 @@ class Settings:
     fill_defaults: dict = field(default_factory=lambda: dict(FILL_DEFAULTS))
     # "column": one date format per column and batch; "row": each value by itself.
     date_mode: str = "column"
-    # Quoted fields of delivered CSV files may hold line breaks. Such a file is read by one
-    # task; set False for very large files that are known to have none (then they split).
+    # Quoted fields of delivered CSV files may hold line breaks (found out in one pass over the
+    # files); set False for files that are known to have none.
     csv_multi_line: bool = True
     pipeline_name: str = "txmart_nightly"
     task_name: str = "full_pipeline"
