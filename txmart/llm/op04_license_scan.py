@@ -179,23 +179,29 @@ def align(template: np.ndarray, words: np.ndarray, diagonal: int, band: int) ->
     """Document places matched, in order, by the best alignment within the band: a match
     scores 2, a word left out on either side costs 1, document ends are free."""
     n, width = len(template), 2 * band + 1
-    score = np.full((n + 1, width), -np.inf)
+    first = max(diagonal - band, 0)
+    for j in (first + np.flatnonzero(words[first : max(diagonal + band + 1, 0)] == template[0])).tolist():
+        if np.array_equal(words[j : j + n], template):  # no alignment scores more, and the table prefers the first
+            return list(range(j, j + n))
+    place = diagonal - band - 1 + np.arange(n + width)  # of the document's word before each cell, by template words used + offset
+    inside = (place >= 0) & (place < len(words))
+    line = np.zeros(n + width, dtype=words.dtype)
+    line[inside] = words[place[inside]]
+    rows = lambda x: np.lib.stride_tricks.sliding_window_view(x, width)
+    gain = np.where((rows(line)[1:] == template[:, None]) & rows(inside)[1:], 2.0, -np.inf)
+    open_ = rows((place >= -1) & (place < len(words)))
+    offset = np.arange(width)
+    score = np.where(open_[0], 0.0, -np.inf)
     move = np.zeros((n + 1, width), dtype=np.int8)  # 1 match, 2 skip template word, 3 skip document word, 0 start
-    for i in range(n + 1):
-        for k in range(width):
-            j = diagonal - band + i + k  # document words used so far
-            if j < 0 or j > len(words):
-                continue
-            best, how = (0.0, 0) if i == 0 else (-np.inf, 0)
-            if i and j and template[i - 1] == words[j - 1] and score[i - 1, k] + 2 > best:
-                best, how = score[i - 1, k] + 2, 1
-            if i and k + 1 < width and score[i - 1, k + 1] - 1 > best:
-                best, how = score[i - 1, k + 1] - 1, 2
-            if k and score[i, k - 1] - 1 > best:
-                best, how = score[i, k - 1] - 1, 3
-            score[i, k], move[i, k] = best, how
-    i, k = n, int(score[n].argmax())
-    if score[i, k] == -np.inf:
+    skip = np.full(width, -np.inf)
+    for i in range(1, n + 1):
+        match = score + gain[i - 1]
+        skip[:-1] = score[1:] - 1
+        best = np.maximum(match, skip)
+        score = np.where(open_[i], np.maximum.accumulate(best + offset) - offset, -np.inf)
+        move[i] = np.where(score > best, 3, np.where(skip > match, 2, 1))
+    i, k = n, int(score.argmax())
+    if score[k] == -np.inf:
         return []
     out = []
     while move[i, k]:
@@ -210,11 +216,10 @@ def align(template: np.ndarray, words: np.ndarray, diagonal: int, band: int) ->
     return out[::-1]
 
 
-def alignments(template: np.ndarray, words: np.ndarray, diagonal: int, band: int, hits: list[tuple[int, int]], gram: int) -> Iterator[list[int]]:
+def alignments(template: np.ndarray, words: np.ndarray, diagonal: int, band: int, spots: np.ndarray, gram: int) -> Iterator[list[int]]:
     """The best alignment within the band, then those of the words before and after it, as
-    long as a hit (place in the template, place in the document) of the band lies in them."""
+    long as a hit of the band (``spots``: their places in the document, sorted) lies in them."""
     size = min(gram, len(template))
-    spots = np.array(sorted(at for place, at in hits if abs(at - place - diagonal) <= band), dtype=np.int64)
     todo = [(0, len(words))]
     while todo:
         lo, hi = todo.pop()
@@ -232,21 +237,24 @@ def scan_text(index: Index, text: str | None, band: int = BAND, least: float = M
     words = word_hashes(data)
     found = []
     hits = index.hits(words)
-    own: dict[int, list[tuple[int, int]]] = {}
-    for owner, place, at in hits:
-        own.setdefault(owner, []).append((place, at))
+    own: dict[int, np.ndarray] = {}  # template -> (diagonal, place) of its hits, by diagonal
+    if hits:
+        owner, place, at = np.array(hits, dtype=np.int64).T
+        own = {o: np.array(sorted(zip((at - place)[owner == o].tolist(), at[owner == o].tolist()))) for o in np.unique(owner).tolist()}
     for owner, diagonal in candidates(hits, band):
-        for places in alignments(index.words[owner], words, diagonal, band, own[owner], index.gram):
+        near = own[owner]
+        a, b = np.searchsorted(near[:, 0], [diagonal - band, diagonal + band + 1])
+        for places in alignments(index.words[owner], words, diagonal, band, np.sort(near[a:b, 1]), index.gram):
             if len(places) >= least * len(index.words[owner]):
                 found.append((-len(places), -len(places) / len(index.words[owner]), places[0], places[-1], owner))
     if not found:
         return []
-    taken, out = [], []
+    taken, out = np.zeros(len(words), dtype=bool), []
     raw, start, end = word_spans(data)
     point = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))  # code points before each byte
     for _, share, first, last, owner in sorted(found):
-        if all(last < a or first > b for a, b in taken):
-            taken.append((first, last))
+        if not taken[first : last + 1].any():
+            taken[first : last + 1] = True
             out.append((int(point[start[first]]), int(point[end[last]]), index.names[owner], round(-share, 4)))
     return sorted(out)
 
