@@ -1,6 +1,7 @@
 """Token alignment, PII spans and spelling variants against brute force, and their odd cases."""
 
 import collections
+import hashlib
 import random
 import re
 import time
@@ -193,6 +194,17 @@ def test_pii_of_awkward_and_empty_tables(spark):
     assert op12.find_pii(empty_docs(spark)).count() == 0
 
 
+def test_pii_query_counts_every_kind(spark, tmp_root):
+    texts = ["a@b.com c@d.org e@f.net", "1.2.3.4 and 5.6.7.8", "4111 1111 1111 1111, +1 (743) 555-3824", "+1 743 555 3824 a@b.com 1.2.3.4 +44 20 7946 0958", "", None, "none"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_root}/documents.parquet")
+    rows = {r["doc_id"]: r for r in op12.op12_pii_spans(spark, tmp_root).collect()}
+    for i, text in enumerate(texts):
+        base = _base(text)
+        assert [rows[i][f"n_{k}"] for k in op12.KINDS] == [sum(b[0] == k for b in base) for k in range(4)], text
+        spans = ",".join(f"{op12.KINDS[k]}:{s}:{e}" for k, s, e in base)
+        assert rows[i]["base_sha256"] == hashlib.sha256(spans.encode()).hexdigest()
+
+
 # ---------------------------------------------------------------- op13
 
 

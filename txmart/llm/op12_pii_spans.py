@@ -434,5 +434,6 @@ def find_pii(docs: DataFrame, threshold: float = THRESHOLD, keep: list[str] | No
 def op12_pii_spans(spark, sf_dir):
     """Personal data of every document: base spans and those the classifier adds."""
     found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
-    counts = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    # as text: a lambda of two parameters gets the element's index in the second
+    counts = [F.expr(f"size(filter(base, x -> x.kind = {k}))").cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return found.select("doc.doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
