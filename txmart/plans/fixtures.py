@@ -20,23 +20,26 @@ def _s(c: Column) -> Column:
 
 
 def iso_date_text(d: Column) -> Column:
-    return F.concat(_s(F.year(d)), F.lit("-"), F.lpad(_s(F.month(d)), 2, "0"), F.lit("-"), F.lpad(_s(F.dayofmonth(d)), 2, "0"))
+    parts = F.concat(_s(F.year(d)), F.lit("-"), F.lpad(_s(F.month(d)), 2, "0"), F.lit("-"), F.lpad(_s(F.dayofmonth(d)), 2, "0"))
+    day = d.cast("date")  # its text is the same, and cheaper, for years of four digits
+    return F.when(F.year(day).between(1000, 9999), _s(day)).otherwise(parts)
 
 
 def _orders_with_resends(orders: DataFrame) -> DataFrame:
+    """Every order and its re-sends, from one scan. The rows are dealt out anew first: building
+    their texts costs far more than reading them, and a file may be read by few tasks."""
     o = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus")
-    base = o.select(F.col("o_orderkey").alias("id"), "*")
-    resent = o.where(F.col("o_orderkey") % 20 == 0).select((F.col("o_orderkey") + 10_000_000).alias("id"), "*")
-    moved = o.where(F.col("o_orderkey") % 50 == 0).select(
-        (F.col("o_orderkey") + 20_000_000).alias("id"),
-        "o_orderkey",
-        F.when(F.col("o_custkey") > 0, F.col("o_custkey") - 1).otherwise(F.lit(1)).alias("o_custkey"),
-        "o_totalprice",
-        "o_orderdate",
-        "o_orderpriority",
-        "o_orderstatus",
+    o = o.repartition("o_orderkey", "o_custkey", "o_totalprice")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    sent = lambda key, customer: F.struct(key.alias("id"), customer.alias("o_custkey"))
+    base, resent = sent(k, c), sent(k + 10_000_000, c)
+    moved = sent(k + 20_000_000, F.when(c > 0, c - 1).otherwise(F.lit(1)))
+    again, elsewhere = k % 20 == 0, k % 50 == 0
+    each = (
+        F.when(again & elsewhere, F.array(base, resent, moved)).when(again, F.array(base, resent))
+        .when(elsewhere, F.array(base, moved)).otherwise(F.array(base))
     )
-    return base.unionByName(resent).unionByName(moved)
+    return o.select(F.inline(each).alias("id", "o_custkey"), "o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus")
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
