@@ -4,7 +4,9 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from txmart.session import ensure_checkpoint_dir
 from txmart.sources import csv_split, files
 from txmart.sources.staging import stage_rows
 from txmart.sources.warehouse import Warehouse
@@ -141,3 +143,19 @@ def test_rows_are_numbered_where_they_are_read(spark, tmp_root):
                 assert all("raw_data" not in line for line in plan.splitlines() if "Exchange" in line)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_quoted_lines_are_ordered_in_bounded_pieces(spark, tmp_root, monkeypatch):
+    """A split's lines are put in order piece by piece, wherever the pieces cut records."""
+    rows = [(str(i), "a\nb" if i % 3 == 0 else f'say "{i}"\n\n,x' if i % 7 == 0 else "plain") for i in range(200)]
+    with open(f"{tmp_root}/quoted.csv", "w") as f:
+        f.write("id,note\n")
+        for i, note in rows:
+            f.write(f'{i},"{note.replace(chr(34), chr(34) * 2)}"\n')
+    monkeypatch.setattr(csv_split, "PIECE_BITS", 2)
+    ensure_checkpoint_dir(spark)
+    lines = csv_split.quoted_lines(spark, [f"{tmp_root}/quoted.csv"]).withColumn("chunk", F.shiftright("pos", 2))
+    assert csv_split.split_table(lines).count() == -(-lines.count() // 4)
+    got = files.read_source(spark, [f"{tmp_root}/quoted.csv"])
+    assert sorted((r["id"], r["note"]) for r in got.collect()) == sorted(rows)
+    assert [r["_pos"] for r in got.orderBy(F.col("id").cast("int")).collect()] == list(range(200))

@@ -9,10 +9,10 @@ turned it since.
 
 A first pass counts per split the lines that, begun outside, end inside, and the blank ones
 (one row a split, nothing else moves). A file without either has one record a line: its
-lines are numbered and parsed where they are read. For the other files the lines of a split
-are put in order, every split is summed up to one row (its function and how many records it
-starts under either state), a prefix over these rows gives each split its state and its first
-record number, and the lines are numbered; only those of a record of several lines are
+lines are numbered and parsed where they are read. For the other files the lines of each piece
+of a split are put in order (so the memory of a task does not grow with the split), every piece
+is summed up to one row (its function and how many records it starts under either state), a
+prefix over these rows gives each piece its state and its first record number, and the lines are numbered; only those of a record of several lines are
 grouped by its number.
 
 A quote opens a field only at its start, as in the one-task reader; blank lines between
@@ -33,6 +33,9 @@ from txmart.session import ensure_checkpoint_dir
 #: how delivered files quote: a quote inside a quoted field is doubled
 DIALECT = {"quote": '"', "escape": '"'}
 
+#: lines are put in order in pieces of a split: of at most 2**16 lines, numbered within its task
+PIECE, PIECE_BITS = ["path", "block", "chunk"], 16
+
 #: states while the pieces between the quotes of a line are read
 OUTSIDE, INSIDE, CLOSING, RECORD_START = range(4)
 
@@ -99,10 +102,10 @@ def quoted_lines(spark: SparkSession, files: list[str]) -> DataFrame:
     )
 
 
-def compose(rows: DataFrame, part: list[str], order: str) -> DataFrame:
+def compose(rows: DataFrame, part: list[str], order: list[str]) -> DataFrame:
     """``rows`` with ``out`` and ``in`` of the composition of all functions up to each row:
     the state after it when the first row of its part begins outside or inside."""
-    upto = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     anchor, turn = F.col("from_out") == F.col("from_in"), (F.col("from_out") == 1) & (F.col("from_in") == 0)
     rows = rows.withColumn("_turns", F.sum(turn.cast("int")).over(upto))
     rows = rows.withColumn("_anchor", F.last(F.when(anchor, F.struct(F.col("from_out").alias("state"), F.col("_turns").alias("turns"))), ignorenulls=True).over(upto))
@@ -111,9 +114,9 @@ def compose(rows: DataFrame, part: list[str], order: str) -> DataFrame:
     return rows.withColumns({"out": after(0), "in": after(1)}).drop("_turns", "_anchor")
 
 
-def _before(rows: DataFrame, part: list[str], order: str) -> DataFrame:
+def _before(rows: DataFrame, part: list[str], order: list[str]) -> DataFrame:
     """The states before each row under either start."""
-    w = Window.partitionBy(*part).orderBy(order)
+    w = Window.partitionBy(*part).orderBy(*order)
     return rows.withColumns({"out0": F.coalesce(F.lag("out").over(w), F.lit(0)), "in0": F.coalesce(F.lag("in").over(w), F.lit(1))})
 
 
@@ -123,34 +126,35 @@ def starts(state: str) -> Column:
 
 
 def split_table(lines: DataFrame) -> DataFrame:
-    """One row per split: ``path, block, state`` it begins in, ``records`` begun before it,
-    ``upto`` (records begun up to its end) and ``ends`` (the state after it)."""
-    placed = _before(compose(lines.drop("value"), ["path", "block"], "pos"), ["path", "block"], "pos")
-    splits = placed.groupBy("path", "block").agg(
+    """One row per piece of a split: ``path, block, chunk, state`` it begins in, ``records`` begun
+    before it, ``upto`` (records begun up to its end) and ``ends`` (the state after it)."""
+    placed = _before(compose(lines.drop("value"), PIECE, ["pos"]), PIECE, ["pos"])
+    pieces = placed.groupBy(*PIECE).agg(
         F.max_by("out", "pos").alias("from_out"), F.max_by("in", "pos").alias("from_in"), F.sum(starts("out0")).alias("n_out"), F.sum(starts("in0")).alias("n_in")
     )
-    # from here on one row per split of the scan, however long the files are
-    ordered = _before(compose(splits, ["path"], "block"), ["path"], "block")
+    # from here on one row per piece, however long the files are
+    at = ["block", "chunk"]
+    ordered = _before(compose(pieces, ["path"], at), ["path"], at)
     begun = F.when(F.col("out0") == 0, F.col("n_out")).otherwise(F.col("n_in"))
-    earlier = F.sum(begun).over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    earlier = F.sum(begun).over(Window.partitionBy("path").orderBy(*at).rowsBetween(Window.unboundedPreceding, -1))
     ordered = ordered.withColumns({"begun": begun, "records": F.coalesce(earlier, F.lit(0))})
-    return ordered.select("path", "block", F.col("out0").alias("state"), "records", (F.col("records") + F.col("begun")).alias("upto"), F.col("out").alias("ends"))
+    return ordered.select(*PIECE, F.col("out0").alias("state"), "records", (F.col("records") + F.col("begun")).alias("upto"), F.col("out").alias("ends"))
 
 
 def ordered_records(spark: SparkSession, files: list[str]) -> tuple[DataFrame, DataFrame]:
     """As ``records``, for files whose records may have several lines. Raises ``OpenQuote`` for a file
     whose last record does not end."""
-    lines = quoted_lines(spark, files)
+    lines = quoted_lines(spark, files).withColumn("chunk", F.shiftright(F.col("pos").bitwiseAND((1 << 33) - 1), PIECE_BITS))
     splits = split_table(lines).checkpoint(eager=True)
-    ends = splits.groupBy("path").agg(F.max_by("ends", "block").alias("ends")).where("ends = 1").orderBy("path").limit(10).collect()
+    ends = splits.groupBy("path").agg(F.max_by("ends", F.struct("block", "chunk")).alias("ends")).where("ends = 1").orderBy("path").limit(10).collect()
     if ends:
         raise OpenQuote(f"a quoted field never ends in {[r['path'] for r in ends]}")
-    placed = _before(compose(lines, ["path", "block"], "pos"), ["path", "block"], "pos")
-    # as many rows as the scan has splits, which the driver plans one by one
-    placed = placed.join(F.broadcast(splits.select("path", "block", "state", "records")), ["path", "block"])
+    placed = _before(compose(lines, PIECE, ["pos"]), PIECE, ["pos"])
+    # one row per piece, some thousand lines each
+    placed = placed.join(F.broadcast(splits.select(*PIECE, "state", "records")), PIECE)
     pick = lambda out, inside: F.when(F.col("state") == 0, F.col(out)).otherwise(F.col(inside))
     placed = placed.withColumns({"before": pick("out0", "in0"), "after": pick("out", "in")})
-    upto = Window.partitionBy("path", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy(*PIECE).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     placed = placed.withColumn("record", F.col("records") + F.sum(starts("before")).over(upto))
     placed = placed.where("record > 1").where((F.col("before") == 1) | ~F.col("blank"))
     counts = splits.groupBy("path").agg((F.max("upto") - 1).alias("records"))
