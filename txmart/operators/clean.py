@@ -69,13 +69,14 @@ def _parse_by_mode(c: Column, mode: Column, formats) -> Column:
     return expr.otherwise(F.coalesce(parse_with_formats(c, formats), parse_ts(c)))
 
 
-def parse_dates(df: DataFrame, col="transaction_date", formats=None, mode: str = "column", order_col: str = "id", fallback=None) -> DataFrame:
+def parse_dates(df: DataFrame, col="transaction_date", formats=None, mode: str = "column", order_col: str = "id", fallback=None, modes=None) -> DataFrame:
     """Replace ``col`` (a name or several) by its ``timestamp_ntz`` parse (null where it does
     not parse).
 
     ``mode="column"``: one format per column, chosen by :func:`date_format_plan` (one bad
     value defeats a format, as in the source system). ``mode="row"``: each value takes the
-    first format that parses it (robust choice for users).
+    first format that parses it (robust choice for users). ``modes``: the row of a
+    :func:`date_format_plan` that the caller has read; only the formats it chose are compiled.
     """
     cols = [col] if isinstance(col, str) else list(col)
     formats = tuple(formats or Settings().date_formats)
@@ -84,6 +85,8 @@ def parse_dates(df: DataFrame, col="transaction_date", formats=None, mode: str =
         return df.withColumns({c: F.coalesce(parse_with_formats(F.col(c), every), parse_ts(F.col(c))) for c in cols})
     if mode != "column":
         raise ValueError(f"unknown date mode {mode!r}")
+    if modes is not None:
+        return df.withColumns({c: _parse_by_mode(F.col(c), F.lit(modes[f"_mode{k}"]), every) for k, c in enumerate(cols)})
     plan = date_format_plan(df, cols, formats, order_col, fallback)
     parsed = {c: _parse_by_mode(F.col(c), F.col(f"_mode{k}"), every) for k, c in enumerate(cols)}
     return df.crossJoin(F.broadcast(plan)).withColumns(parsed).drop(*[f"_mode{k}" for k in range(len(cols))])
@@ -149,11 +152,12 @@ def clean_age(df: DataFrame, col: str = "customer_age") -> DataFrame:
 
 # ------------------------------------------------------------------ composition, C-10 accounting
 
-def standardise(raw: DataFrame, settings: Settings | None = None, date_mode: str | None = None) -> DataFrame:
+def standardise(raw: DataFrame, settings: Settings | None = None, date_mode: str | None = None, modes=None) -> DataFrame:
     """Every staged row with typed columns and ``reject_reason`` (null if the row survives
-    the row-level steps; duplicates are decided afterwards by :func:`clean_transactions`)."""
+    the row-level steps; duplicates are decided afterwards by :func:`clean_transactions`).
+    ``modes``: see :func:`parse_dates`."""
     s = settings or Settings()
-    out = parse_dates(raw, "transaction_date", s.date_formats, date_mode or s.date_mode, "id", s.fallback_date_formats)
+    out = parse_dates(raw, "transaction_date", s.date_formats, date_mode or s.date_mode, "id", s.fallback_date_formats, modes)
     amount = amount_value(F.col("transaction_amount"))
     out = out.withColumn("transaction_amount", amount)
     out = out.withColumns({c: title_case(trim_ws(F.col(c))) for c in TITLE_COLUMNS})

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from txmart.operators.clean import keep_last
 from txmart.operators.keys import assign_keys, next_key_base
+from txmart.session import ensure_checkpoint_dir
 
 
 class ConflictingSourceRows(ValueError):
@@ -60,7 +61,9 @@ def upsert(
     ts = _now(now)
     compare = tuple(c for c in insert_cols if c in source.columns and c != key)
     src = reduce_source(source, key, order_by, on_conflicting, compare)
-    incoming = src.select(F.col(key).alias("_k"), *[c.alias(f"_in_{n}") for n, c in insert_cols.items()])
+    # one row per key, used three times below (updates, bounds of the new keys, new rows): the source is read once
+    ensure_checkpoint_dir(source.sparkSession)
+    incoming = src.select(F.col(key).alias("_k"), *[c.alias(f"_in_{n}") for n, c in insert_cols.items()]).checkpoint(eager=True)
     updates = incoming.select("_k", *[F.col(f"_in_{c}").alias(f"_up_{c}") for c in update_cols])
     kept = target.join(updates, target[key] == updates["_k"], "left")
     matched = F.col("_k").isNotNull()

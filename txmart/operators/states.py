@@ -9,10 +9,16 @@ result is the one of a full scan, as counts add up and maxima merge.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def part_of(path: Column) -> Column:
+    """The name of the part that a file lies in: the folder of its path. Cut out without a pattern, as this
+    runs once a row."""
+    return F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+
+
 def part_states(df: DataFrame, table: str, columns, key: str | None = None) -> DataFrame:
     """One row per ``part`` of ``df`` (a column of that name): ``table_name, part, row_count,
     null_counts, max_key``. Combined before the shuffle, which moves one row per task and part."""

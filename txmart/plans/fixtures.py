@@ -42,19 +42,23 @@ def _orders_with_resends(orders: DataFrame) -> DataFrame:
     return o.select(F.inline(each).alias("id", "o_custkey"), "o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus")
 
 
-def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F_RAW: ``id`` + the 15 canonical string columns."""
+def raw_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the texts of F_RAW are made of: ``id`` and columns of the tables, a fraction of their width."""
     s = _orders_with_resends(read_table(spark, sf_dir, "orders"))
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return s.join(c, s.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+
+
+def raw_columns() -> list[Column]:
+    """``id`` + the 15 canonical string columns, over :func:`raw_inputs`."""
     k, ck = F.col("o_orderkey"), F.col("c_custkey")
     money = _s(F.col("o_totalprice").cast("decimal(18,2)"))
-    j = s.join(c, s.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-    return j.select(
+    return [
         "id",
         F.concat(F.lit("C"), _s(F.col("o_custkey"))).alias("customer_id"),
         F.when(k % 97 == 0, F.lit(None)).otherwise(F.concat(F.lit("T"), _s(k))).alias("transaction_id"),
-        F.when(k % 89 == 0, F.lit("not-a-date")).otherwise(iso_date_text(F.col("o_orderdate"))).alias("transaction_date"),
+        raw_date().alias("transaction_date"),
         F.when(k % 83 == 0, F.lit(None)).otherwise(F.concat(F.lit("  "), F.lower("o_orderpriority"), F.lit(" "))).alias("product_type"),
         F.when(k % 79 == 0, F.lit("N/A"))
         .when(k % 73 == 0, F.lit("$0.00"))
@@ -71,7 +75,17 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ck % 17 == 0, F.lit(None)).otherwise(F.col("c_mktsegment")).alias("customer_segment"),
         F.when(k % 71 == 0, F.lit(None)).otherwise(F.concat(F.lit("BRN"), F.lpad(_s(F.col("n_nationkey")), 3, "0"))).alias("branch_id"),
         F.lower("n_name").alias("branch_location"),
-    )
+    ]
+
+
+def raw_date() -> Column:
+    """The date text of F_RAW."""
+    return F.when(F.col("o_orderkey") % 89 == 0, F.lit("not-a-date")).otherwise(iso_date_text(F.col("o_orderdate")))
+
+
+def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F_RAW: ``id`` + the 15 canonical string columns."""
+    return raw_inputs(spark, sf_dir).select(*raw_columns())
 
 
 F_RAW_SQL = """

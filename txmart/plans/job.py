@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 from txmart import schemas
 from txmart.operators import audit, dims, states
 from txmart.operators import quality as q
-from txmart.operators.clean import counts_of_tagged, standardise, survivors_to_cleaned
+from txmart.operators.clean import counts_of_tagged, date_format_plan, standardise, survivors_to_cleaned
 from txmart.operators.fact import new_facts, take_unprocessed, watermark, with_run_flags
 from txmart.operators.keys import next_key_base
 from txmart.plans.mart import cleaned_layer
 from txmart.session import ensure_checkpoint_dir
-from txmart.settings import Settings
+from txmart.settings import CANONICAL_COLUMNS, Settings
 from txmart.sources import files
 from txmart.sources.by_month import FactByMonth
 from txmart.sources.ledger import IdLedger
@@ -151,8 +151,11 @@ def transform(spark: SparkSession, wh: Warehouse, s: Settings, now: dt.datetime,
     kept = rejected = loaded = 0
     if cutoff is not None:
         # one parse of the batch: every row with its reject reason (the quarantine view),
-        # from which both the cleaned rows and the row accounting are derived
-        tagged = standardise(batch, s).checkpoint(eager=True)
+        # from which both the cleaned rows and the row accounting are derived. Stored without the
+        # staged payload and provenance, which neither needs.
+        # The date format is read first (one row): a choice among all in every row is too much code to compile.
+        modes = None if s.date_mode == "row" else date_format_plan(batch, ["transaction_date"], s.date_formats, "id", s.fallback_date_formats).first()
+        tagged = standardise(batch.select(*dict.fromkeys(("id", *CANONICAL_COLUMNS, *s.dedupe_keys, *s.critical_columns))), s, modes=modes).checkpoint(eager=True)
         counts = counts_of_tagged(tagged, s).first()
         kept, rejected = int(counts["rows_kept"]), int(counts["rows_rejected"])
         cleaned = cleaned_layer(survivors_to_cleaned(tagged, s), now)
@@ -212,7 +215,7 @@ def write_states(wh: Warehouse, table: str, *pending) -> list:
     missing = [p for p in wh.parts(table, *pending) if p not in have]
     if not missing:
         return []
-    part = F.regexp_extract(F.col("_metadata.file_path"), "/([^/]+)/[^/]+$", 1).alias("part")
+    part = states.part_of(F.col("_metadata.file_path")).alias("part")
     rows = wh.read_parts(table, missing, *pending).select(part, *columns, *([key] if key else []))
     found = states.part_states(rows, table, columns, key)
     return [wh.write(STATES, states.with_empty_parts(found, table, missing, columns))]

@@ -48,19 +48,22 @@ DELIVERY_HEADERS = {
 }
 
 
-def delivery_rows(spark, sf_dir):
-    """F_RAW in the shape of a delivered file (human headers, First/Last Name)."""
-    raw = fx.raw_transactions(spark, sf_dir)
-    return raw.select(*[F.col(c).alias(h) for c, h in DELIVERY_HEADERS.items()], F.lit(None).cast("string").alias("Last Name"))
+def as_delivered(inputs, *more):
+    """F_RAW in the shape of a delivered file (human headers, First/Last Name), built over
+    ``fixtures.raw_inputs``; ``more`` columns of these stay."""
+    raw = inputs.select(*fx.raw_columns(), *more)
+    return raw.select(*[F.col(c).alias(h) for c, h in DELIVERY_HEADERS.items()], F.lit(None).cast("string").alias("Last Name"), *more)
 
 
 def land_deliveries(spark, sf_dir, root: str) -> tuple[str, str]:
     """Write F_RAW as two deliveries of CSV part files, rows in staging-id order."""
-    raw = delivery_rows(spark, sf_dir)
-    early = F.coalesce(F.col("Transaction Date") < "1998", F.lit(False))
+    inputs = fx.raw_inputs(spark, sf_dir)
+    early = F.coalesce(fx.raw_date() < "1998", F.lit(False))
     d = F.when(early, F.lit(1)).otherwise(F.lit(2)).alias("delivery")
-    # one write: range-partitioned on (delivery, id), so part files are in id order
-    (raw.select("*", d).repartitionByRange("delivery", "id").sortWithinPartitions("delivery", "id")
+    # one write: range-partitioned on (delivery, id), so part files are in id order. The narrow inputs are
+    # placed and sorted, the texts built afterwards: the bounds are sampled by a pass over all rows
+    placed = inputs.select("*", d).repartitionByRange("delivery", "id").sortWithinPartitions("delivery", "id")
+    (as_delivered(placed, "delivery")
         .write.partitionBy("delivery").option("header", True).csv(root))
     return f"{root}/delivery=1", f"{root}/delivery=2"
 

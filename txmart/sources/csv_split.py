@@ -48,7 +48,7 @@ def with_provenance(df: DataFrame) -> DataFrame:
     """S-4 (part): each row's file name (base name, like the source system), path and place."""
     return df.withColumns(
         {
-            "source_file_name": F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1),
+            "source_file_name": F.substring_index(F.col("_metadata.file_path"), "/", -1),
             "_source_file_path": F.col("_metadata.file_path"),
             "_block": F.col("_metadata.file_block_start"),
             "_pos": F.monotonically_increasing_id(),
@@ -97,7 +97,7 @@ def quoted_lines(spark: SparkSession, files: list[str]) -> DataFrame:
         {
             "from_out": F.when(quotes, state_after(F.col("value"), RECORD_START)).otherwise(0),
             "from_in": F.when(quotes, state_after(F.col("value"), INSIDE)).otherwise(1),
-            "blank": F.trim(F.translate("value", "\r\t", "  ")) == "",
+            "blank": F.ltrim("value", F.lit(" \r\t")) == "",
         }
     )
 
@@ -213,7 +213,7 @@ def read_records(spark: SparkSession, files: list[str], schema: T.StructType) ->
     parsed = found.select("path", "record", F.inline(F.array(F.from_csv("text", ddl, DIALECT))).alias(*[f"_{i}" for i in range(len(schema))]))
     rows = parsed.select(
         *[F.col(f"_{i}").alias(n) for i, n in enumerate(schema.names)],
-        F.element_at(F.split("path", "/"), -1).alias("source_file_name"), F.col("path").alias("_source_file_path"), F.lit(0).cast("long").alias("_block"), (F.col("record") - 2).alias("_pos"),
+        F.substring_index("path", "/", -1).alias("source_file_name"), F.col("path").alias("_source_file_path"), F.lit(0).cast("long").alias("_block"), (F.col("record") - 2).alias("_pos"),
     )
     zero = F.lit(0).cast("long")
     return rows, counts.select(F.col("path").alias("_source_file_path"), zero.alias("_block"), "records", zero.alias("first"))

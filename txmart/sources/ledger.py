@@ -25,6 +25,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txmart.operators.states import part_of
 from txmart.sources.warehouse import Change, Warehouse
 
 LEDGER = "mart.fact_ids"
@@ -68,7 +69,7 @@ class IdLedger:
         if not missing:
             return []
         attempt = uuid.uuid4().hex
-        part = F.regexp_extract(F.col("_metadata.file_path"), "/([^/]+)/[^/]+$", 1)
+        part = part_of(F.col("_metadata.file_path"))
         ids = self.wh.read_parts(self.fact, missing, *pending).select("transaction_id", F.concat_ws("-", part, F.lit(attempt)).alias("part"))
         ids.repartition(self.buckets, "transaction_id").write.insertInto(self._table(parts))
         self._covered |= {p: f"{p}-{attempt}" for p in missing}
