@@ -28,6 +28,15 @@ def test_landing_places_the_inputs_before_texts_are_built(spark, tmp_path):
     assert "transaction_amount" not in fx.raw_inputs(spark, root).columns  # bounds are sampled over these
 
 
+def test_both_deliveries_are_handed_over_although_their_files_share_names(spark, tmp_path):
+    root = str(tmp_path)
+    for n in (1, 2):
+        (tmp_path / f"delivery={n}").mkdir()
+        (tmp_path / f"delivery={n}" / "part-00000-x.csv").write_text(f"id\n{n}\n")
+        q_job.hand_over(spark, f"{root}/delivery={n}", f"{root}/landing")
+    assert [r["id"] for r in spark.read.option("header", True).csv(f"{root}/landing").orderBy("id").collect()] == ["1", "2"]
+
+
 def test_the_batch_is_stored_without_payload_and_with_the_format_decided(spark, tmp_path, monkeypatch):
     (tmp_path / "a.csv").write_text("Customer ID,TransactionID,Transaction Date\nC1,T1,2024-01-02\nC2,T2,not-a-date\n")
     seen = {}

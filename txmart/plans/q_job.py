@@ -68,6 +68,18 @@ def land_deliveries(spark, sf_dir, root: str) -> tuple[str, str]:
     return f"{root}/delivery=1", f"{root}/delivery=2"
 
 
+def hand_over(spark, delivery: str, landing: str) -> None:
+    """The part files of a delivery, in id order as they were written, move into the watched folder. A
+    delivery's name goes before theirs: one task may have written a file of the same name for each."""
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    fs = path(landing).getFileSystem(conf)
+    fs.mkdirs(path(landing))
+    for file in fs.listStatus(path(delivery)):
+        name = file.getPath().getName()
+        if name.startswith("part-") and not fs.rename(file.getPath(), path(f"{landing}/{delivery.rsplit('/', 1)[-1]}-{name}")):
+            raise OSError(f"{name} of {delivery} did not reach {landing}")
+
+
 @register("job_pipeline", ORACLE)
 def _job_pipeline(spark, sf_dir):
     """R-1 twice over delivered CSV files: stage, clean, merge, load, check, audit."""
@@ -87,8 +99,8 @@ def _incremental_fact(spark, sf_dir):
     first, second = land_deliveries(spark, sf_dir, staging)
     landing, wh, ckpt = f"{root}/landing", f"{root}/warehouse", f"{root}/checkpoint"
     # each delivery's part files land in the watched folder; one availableNow run each
-    spark.read.option("header", True).csv(first).orderBy(F.col("id").cast("long")).write.mode("append").option("header", True).csv(landing)
+    hand_over(spark, first, landing)
     incremental.run_available(spark, landing, wh, ckpt, now=NOW1)
-    spark.read.option("header", True).csv(second).orderBy(F.col("id").cast("long")).write.mode("append").option("header", True).csv(landing)
+    hand_over(spark, second, landing)
     incremental.run_available(spark, landing, wh, ckpt, now=NOW2)
     return job.read_table(spark, wh, job.FACT).select(*FACT_OUT)
